@@ -1,0 +1,61 @@
+"""The stages end to end: ingest, clean and tag, mine. Each reads and writes tables under one folder."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from adlode import constants as C, schema
+from adlode.operators.clean import clean_listings
+from adlode.operators.clusters import cluster_roles
+from adlode.operators.pages import all_listings
+from adlode.operators.rules import association_rules, itemsets, rule_table
+from adlode.operators.stats import skill_frequency
+from adlode.operators.taxonomy import baskets, taxonomy_aliases
+from adlode.functions.text import split_list
+from adlode.sources.sinks import append_new, export_csv, replace_table
+from adlode.sources.tables import read_or_empty, read_table, read_taxonomy, seed_if_empty
+from pyspark.sql import functions as F
+
+
+def run_ingest(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None) -> int:
+    """Listings of captured pages into the ``jobs`` table; returns the number of new ones."""
+    return append_new(all_listings(pages, only=only), f"{store}/jobs")
+
+
+def run_cleaning(spark: SparkSession, store: str, taxonomy_path: str, exports: str | None = None) -> DataFrame:
+    """``jobs`` to ``jobs_clean`` and the skill frequencies, which are returned."""
+    raw = seed_if_empty(read_or_empty(spark, f"{store}/jobs", schema.RAW))
+    aliases = taxonomy_aliases(read_taxonomy(spark, taxonomy_path))
+    replace_table(clean_listings(raw, aliases).drop("skills"), f"{store}/jobs_clean")
+    frequency = skill_frequency(load_clean(spark, store))
+    replace_table(frequency, f"{store}/skill_frequency")
+    if exports:
+        export_csv(frequency, exports, "skill_frequency")
+    return read_table(spark, f"{store}/skill_frequency", schema.FREQUENCY)
+
+
+def load_clean(spark: SparkSession, store: str) -> DataFrame:
+    """``jobs_clean`` with the skills as an array again; empty if not written yet."""
+    clean = read_or_empty(spark, f"{store}/jobs_clean", schema.CLEAN)
+    return clean.withColumn("skills", split_list(F.col("skills_extracted")))
+
+
+def run_mining(spark: SparkSession, store: str, exports: str | None = None) -> dict[str, DataFrame]:
+    """Rules, clusters and cluster profiles; nothing where too few listings have skills."""
+    clean = load_clean(spark, store)
+    skilled = clean.filter(F.size("skills") > 0)
+    if skilled.limit(C.K_MIN).count() < C.K_MIN:
+        return {}
+    rules = rule_table(association_rules(itemsets(baskets(skilled))))
+    clusters, profiles = cluster_roles(skilled)
+    layouts = {"association_rules": schema.RULES, "job_clusters": schema.CLUSTERS, "cluster_profiles": schema.PROFILES}
+    for name, table in zip(layouts, (rules, clusters, profiles)):
+        replace_table(table, f"{store}/{name}")
+        if exports:
+            export_csv(table, exports, name)
+    return {name: read_table(spark, f"{store}/{name}", layout) for name, layout in layouts.items()}
+
+
+def run_all(spark: SparkSession, pages: DataFrame, store: str, taxonomy_path: str,
+            exports: str | None = None) -> dict[str, DataFrame]:
+    run_ingest(spark, pages, store)
+    frequency = run_cleaning(spark, store, taxonomy_path, exports)
+    return {"skill_frequency": frequency, **run_mining(spark, store, exports)}
