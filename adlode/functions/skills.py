@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from adlode import constants as C
-from adlode.functions.text import text
+from adlode.functions.text import once, text
 
 try:
     import ahocorasick
@@ -44,11 +44,18 @@ def _builtin(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
         table = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("skill")) for a, c in anywhere.items()])
         hits = F.filter(table, lambda entry: F.contains(lowered, entry["alias"]))
         parts.append(F.transform(hits, lambda entry: entry["skill"]))
-    if as_word:
+    # between word boundaries such aliases cannot overlap, so one pattern finds them all
+    plain = {a: c for a, c in as_word.items() if re.fullmatch(f"[{C.WORD_CHARS}]+", a)}
+    if plain:
+        names = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
+        hits = F.regexp_extract_all(lowered, F.lit(_bounded(f"(?:{'|'.join(plain)})")), F.lit(0))
+        parts.append(F.transform(F.array_distinct(hits), lambda alias: F.try_element_at(names, alias)))
+    others = {a: c for a, c in as_word.items() if a not in plain}
+    if others:
         # the substring test spares most texts the pattern
         parts.append(F.array(*[
             F.when(F.contains(lowered, F.lit(a)) & F.rlike(lowered, F.lit(_bounded(_quote(a)))), F.lit(c))
-            for a, c in as_word.items()
+            for a, c in others.items()
         ]))
     return F.concat(*parts) if parts else F.array().cast("array<string>")
 
@@ -103,7 +110,7 @@ def match_skills(c: Column, aliases: Mapping[str, str], guards: Mapping[str, str
         found = _automaton(lowered, anywhere, as_word)
     elif engine == "builtin":
         # as a lambda's variable the lowered text is made once, not once per alias
-        found = F.get(F.transform(F.array(lowered), lambda t: _builtin(t, anywhere, as_word)), 0)
+        found = once(lowered, lambda t: _builtin(t, anywhere, as_word))
     else:
         raise ValueError("engine must be 'auto', 'builtin' or 'automaton'")
     if guarded:

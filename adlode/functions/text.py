@@ -1,7 +1,7 @@
 """Text functions on columns. All are plain Spark expressions and treat NULL as ''."""
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -15,6 +15,11 @@ def text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(text(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
@@ -99,8 +104,8 @@ def normalise_city(city: Column, description: Column, mapping: Mapping[str, str]
     """Known city in the field, else in the description, else the field itself in title case."""
     city = text(city)
     return F.coalesce(
-        _first_contained(F.lower(city), mapping),
-        _first_contained(F.lower(text(description)), mapping),
+        once(F.lower(city), lambda field: _first_contained(field, mapping)),
+        once(F.lower(text(description)), lambda body: _first_contained(body, mapping)),
         F.when(city != "", title_case(city)),
         F.lit(missing),
     )
@@ -108,7 +113,7 @@ def normalise_city(city: Column, description: Column, mapping: Mapping[str, str]
 
 def bucket_experience(raw: Column, buckets=C.EXPERIENCE_BUCKETS, missing: str = C.UNSPECIFIED) -> Column:
     fragments = {f: bucket for bucket, found in buckets for f in found}
-    return F.coalesce(_first_contained(F.lower(text(raw)), fragments), F.lit(missing))
+    return F.coalesce(once(F.lower(text(raw)), lambda field: _first_contained(field, fragments)), F.lit(missing))
 
 
 def detect_language(c: Column, profiles: Mapping[str, Sequence[str]] = C.LANGUAGE_WORDS,
@@ -117,20 +122,15 @@ def detect_language(c: Column, profiles: Mapping[str, Sequence[str]] = C.LANGUAG
 
     One row at a time and without a join, so nothing is shuffled.
     """
-    head = F.lower(F.substring(text(c), 1, scan_chars))
-    # a score carries its language behind it, so that the greatest score names the winner
-    ranked = [
-        F.struct(
-            F.regexp_count(head, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(map(re.escape, words))})(?!\p{{L}})")).alias("hits"),
-            F.lit(-position).alias("order"),
-            F.lit(language).alias("language"),
-        )
-        for position, (language, words) in enumerate(sorted(profiles.items()))
-    ]
-    best = F.array_max(F.array(*ranked))
-    return F.when((F.length(text(c)) >= min_chars) & (best["hits"] > 0), best["language"]).otherwise(F.lit(C.UNKNOWN))
-
-
-def mentions(c: Column, phrase: str) -> Column:
-    """Case-blind substring test; NULL does not match."""
-    return F.coalesce(F.contains(F.lower(c), F.lit(phrase.lower())), F.lit(False))
+    words = F.split(F.lower(F.substring(text(c), 1, scan_chars)), r"\P{L}+")
+
+    def winner(found: Column) -> Column:
+        # a score carries its language behind it, so that the greatest score names the winner
+        return F.array_max(F.array(*[
+            F.struct(F.size(F.filter(found, lambda w: w.isin(*profile))).alias("hits"),
+                     F.lit(-position).alias("order"), F.lit(language).alias("language"))
+            for position, (language, profile) in enumerate(sorted(profiles.items()))
+        ]))
+
+    best = once(once(words, winner), lambda top: F.when(top["hits"] > 0, top["language"]))
+    return F.coalesce(F.when(F.length(text(c)) >= min_chars, best), F.lit(C.UNKNOWN))

@@ -5,7 +5,9 @@ over the distinct skill sets instead of all listings.
 """
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, Window, functions as F
@@ -17,6 +19,8 @@ from adlode.operators.taxonomy import skilled_only
 
 # Features are skills; a vocabulary beyond this is not a skill taxonomy.
 MAX_FEATURES = 100_000
+# Independent fits that share the cluster.
+PARALLEL_FITS = 8
 
 
 def weighted_points(tagged: DataFrame, column: str = "skills") -> tuple[DataFrame, CountVectorizerModel]:
@@ -30,20 +34,32 @@ def weighted_points(tagged: DataFrame, column: str = "skills") -> tuple[DataFram
     return encoder.transform(sets), encoder
 
 
+def fit_all(points: DataFrame, jobs: Sequence[tuple[int, int]], parallelism: int = PARALLEL_FITS) -> list[KMeansModel]:
+    """One fit per (k, seed), several at a time, in the order of ``jobs``."""
+    def fit(job: tuple[int, int]) -> KMeansModel:
+        k, seed = job
+        return KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster_id").fit(points)
+
+    points.persist()
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        fits = pool.map(inheritable_thread_target(points.sparkSession)(fit), jobs, chunksize=1)
+    points.unpersist()
+    return fits
+
+
 def fit_best(points: DataFrame, k: int, restarts: int, seed: int = C.KMEANS_SEED) -> KMeansModel:
     """The fit with the least cost among ``restarts`` seeds."""
-    fits = (
-        KMeans(k=k, seed=seed + i, featuresCol="features", weightCol="weight", predictionCol="cluster_id").fit(points)
-        for i in range(restarts)
-    )
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    return min(fit_all(points, [(k, seed + i) for i in range(restarts)]), key=lambda m: m.summary.trainingCost)
 
 
 def costs_by_k(points: DataFrame, n: int, k_min: int = C.K_MIN, k_max: int = C.K_MAX,
                restarts: int = C.ELBOW_RESTARTS, seed: int = C.KMEANS_SEED) -> list[tuple[int, float]]:
-    """(k, cost) for k from ``k_min`` to ``k_max``, staying below the number of listings ``n``."""
-    return [(k, fit_best(points, k, restarts, seed).summary.trainingCost)
-            for k in range(k_min, min(k_max + 1, n))]
+    """(k, least cost) for k from ``k_min`` to ``k_max``, staying below the number of listings ``n``."""
+    jobs = [(k, seed + i) for k in range(k_min, min(k_max + 1, n)) for i in range(restarts)]
+    costs: dict[int, float] = {}
+    for (k, _), model in zip(jobs, fit_all(points, jobs)):
+        costs[k] = min(costs.get(k, float("inf")), model.summary.trainingCost)
+    return list(costs.items())
 
 
 def elbow(costs: DataFrame, default: int = C.K_MIN) -> DataFrame:
@@ -75,15 +91,10 @@ def cluster_roles(tagged: DataFrame, k: int | None = None, restarts: int = C.FIN
     from the distinct skill sets and their weights.
     """
     points, encoder = weighted_points(tagged)
-    points.persist()
-    try:
-        n = int(points.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0])
-        if n < C.K_MIN:
-            raise ValueError(f"{n} listings with skills, need at least {C.K_MIN}")
-        k = k or choose_k(points, n)
-        model = fit_best(points, k, restarts)
-    finally:
-        points.unpersist()
+    n = points.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    if n < C.K_MIN:
+        raise ValueError(f"{n} listings with skills, need at least {C.K_MIN}")
+    model = fit_best(points, k or choose_k(points, n), restarts)
     profiles = group_profiles(model.transform(points).select("cluster_id", "skills", "weight"), "cluster_id",
                               weight="weight", **options)
     rows = encoder.transform(skilled_only(tagged).select(*keep, "skills"))

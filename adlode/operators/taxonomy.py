@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adlode import constants as C
 from adlode.functions import skills as S
-from adlode.functions.text import combined_text, split_list, strip, text
+from adlode.functions.text import combined_text, once, split_list, strip, text
 
 # Alias tables up to this size are held by every task; larger ones are joined.
 MAX_HELD_ALIASES = 200_000
@@ -66,12 +66,9 @@ def tag_by_join(rows: DataFrame, aliases: DataFrame, id_col: str, text_col: str,
         aliases.filter(~F.col("alias").isin(*guards)).select(
             F.substring("alias", 1, size).alias("gram"), "alias", "canonical")
     )
-
-    def grams_of(n: int):
-        last = F.greatest(F.length(lowered) - (n - 1), F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(lowered, i, n))
-
-    grams = F.array_distinct(F.flatten(F.array(*[grams_of(n) for n in range(1, size + 1)])))
+    # every start position gives one gram of each size, in one pass per size
+    grams = F.array_distinct(F.flatten(F.array(*[
+        F.regexp_extract_all(lowered, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, size + 1)])))
     # a gram may occur in most texts, so its rows are spread over several tasks
     present = rows.select(id_col, F.explode(grams).alias("gram")).withColumn(
         "spread", F.pmod(F.xxhash64(id_col), F.lit(SPREAD)))
@@ -79,20 +76,19 @@ def tag_by_join(rows: DataFrame, aliases: DataFrame, id_col: str, text_col: str,
     candidates = present.join(keyed, ["gram", "spread"]).groupBy(id_col).agg(
         F.collect_list(F.struct("alias", "canonical")).alias("_candidates"))
 
-    def occurs(entry):
+    def occurs(whole, entry):
         bounded = F.concat(F.lit(f"(?<![{C.WORD_CHARS}])\\Q"), entry["alias"], F.lit(f"\\E(?![{C.WORD_CHARS}])"))
         short = F.lit(match == S.AS_WORD) | (F.length(entry["alias"]) <= C.SHORT_ALIAS)
-        return F.contains(lowered, entry["alias"]) & (~short | F.rlike(lowered, bounded))
-
-    contexts = [F.when(S.context_hit(F.col(text_col), pattern), F.lit(alias)) for alias, pattern in guards.items()]
-    guarded = aliases.filter(F.col("alias").isin(*guards))
-    found = F.transform(F.filter(F.coalesce("_candidates", F.array()), occurs), lambda e: e["canonical"])
-    tagged = rows.join(candidates, id_col, "left").withColumn("skills", found).drop("_candidates")
-    if contexts:
-        names = F.map_from_entries(F.collect_list(F.struct("alias", "canonical")))
-        by_alias = guarded.agg(names.alias("m")).scalar()
-        extra = F.transform(F.array_compact(F.array(*contexts)), lambda a: F.try_element_at(by_alias, a))
-        tagged = tagged.withColumn("skills", F.concat("skills", extra))
+        return F.contains(whole, entry["alias"]) & (~short | F.rlike(whole, bounded))
+
+    tested = once(lowered, lambda whole: F.filter(
+        F.coalesce("_candidates", F.array()), lambda entry: occurs(whole, entry)))
+    tagged = rows.join(candidates, id_col, "left").withColumn("skills", F.transform(tested, lambda e: e["canonical"]))
+    tagged = tagged.drop("_candidates")
+    for alias, pattern in guards.items():
+        skill = aliases.filter(F.col("alias") == alias).agg(F.max("canonical")).scalar()
+        tagged = tagged.withColumn(
+            "skills", F.concat("skills", F.array(F.when(S.context_hit(F.col(text_col), pattern), skill))))
     return tagged.withColumn("skills", F.array_sort(F.array_distinct(F.array_compact("skills"))))
 
 

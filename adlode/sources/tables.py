@@ -14,6 +14,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """A scan that Spark would read in fewer tasks than there are cores, spread over all of them.
+
+    For work that costs far more than moving the rows. Tables with enough files
+    are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty one of the same layout where nothing has been written yet."""
     try:

@@ -76,5 +76,6 @@ def stream_weekly_trend(stream: DataFrame, time: str, category: str, out: str |
         batch.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{out}/batch={version}")
 
     _run(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint)
-    versions = spark.read.schema(counts.schema.add("version", "bigint")).parquet(out)
+    layout = T.StructType([*counts.schema.fields, T.StructField("version", T.LongType())])
+    versions = spark.read.schema(layout).parquet(out)
     return versions.groupBy("week", category).agg(F.max_by("count", "version").alias("count"))
