@@ -45,15 +45,17 @@ def group_profiles(tagged: DataFrame, group: str, k: int = C.PROFILE_SKILLS, min
     the number of listings a row stands for.
     """
     one = F.col(weight) if weight else F.lit(1)
-    # a NULL skill per listing counts the group itself in the same aggregation
+    # A NULL skill per listing counts the group itself in the same aggregation. The tests
+    # below involve the count, so that Spark does not move them before the aggregation.
     marks = tagged.select(
         group, one.cast("long").alias("_w"),
         F.explode(F.concat(F.array(F.lit(None).cast("string")), "skills")).alias("skill"))
     counts = marks.groupBy(group, "skill").agg(F.sum("_w").alias("count"))
-    sizes = counts.filter("skill is null").select(group, F.col("count").alias("size"))
+    is_skill = F.when(F.col("count") > 0, F.col("skill")).isNotNull()
+    sizes = counts.filter(~is_skill).select(group, F.col("count").alias("size"))
     total = sizes.agg(F.sum("size")).scalar()
     weights = (
-        counts.filter("skill is not null").join(sizes, group)
+        counts.filter(is_skill).join(sizes, group)
         .withColumn("weight", F.col("count").cast("double") / F.col("size").cast("double"))
     )
     top = top_per_group(weights, group, [F.desc("weight"), F.asc("skill")], k).filter(F.col("weight") > min_weight)

@@ -59,15 +59,13 @@ def itemsets(baskets: DataFrame, min_support: float = C.MIN_SUPPORT, max_size: i
     if not 1 <= max_size <= 3:
         raise ValueError("max_size must be 1, 2 or 3")
     sets = distinct_baskets(baskets)
-    # a NULL item per basket, so that one aggregation gives the counts and the total
-    marks = sets.select("weight", F.explode(F.concat(F.array(F.lit(None).cast("string")), "items")).alias("item"))
-    single = settle(marks.groupBy("item").agg(F.sum("weight").alias("count")))
-    n = (single.filter("item is null").first() or {"count": 0})["count"]
+    n = sets.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     if not n:
         return sets.sparkSession.createDataFrame([], ITEMSETS)
     least = least_count(n, min_support)
-    frequent = single.filter(F.col("item").isNotNull() & (F.col("count") >= least))
-    popular = sorted(r["item"] for r in frequent.select("item").limit(MAX_POPULAR + 1).collect())
+    single = sets.select("weight", F.explode("items").alias("item")).groupBy("item").agg(F.sum("weight").alias("count"))
+    frequent = single.filter(F.col("count") >= least).select("item").limit(MAX_POPULAR + 1)
+    popular = sorted(r["item"] for r in frequent.collect())
     if len(popular) > MAX_POPULAR:
         return itemsets_fpgrowth(baskets, min_support, max_size)
     if not popular:
