@@ -21,6 +21,8 @@ from adlode.operators.taxonomy import skilled_only
 MAX_FEATURES = 100_000
 # Independent fits that share the cluster.
 PARALLEL_FITS = 8
+# Points per cluster from which on first centres are chosen in parallel.
+MANY_POINTS = 20
 
 
 def weighted_points(tagged: DataFrame, column: str = "skills") -> tuple[DataFrame, CountVectorizerModel]:
@@ -35,12 +37,20 @@ def weighted_points(tagged: DataFrame, column: str = "skills") -> tuple[DataFram
 
 
 def fit_all(points: DataFrame, jobs: Sequence[tuple[int, int]], parallelism: int = PARALLEL_FITS) -> list[KMeansModel]:
-    """One fit per (k, seed), several at a time, in the order of ``jobs``."""
+    """One fit per (k, seed), several at a time, in the order of ``jobs``.
+
+    The parallel choice of first centres can find fewer than k where there are not
+    many more points than that; k different points are drawn there instead.
+    """
+    points.persist()
+    distinct = points.count()
+
     def fit(job: tuple[int, int]) -> KMeansModel:
         k, seed = job
-        return KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster_id").fit(points)
+        start = "k-means||" if distinct >= MANY_POINTS * k else "random"
+        return KMeans(k=k, seed=seed, initMode=start, featuresCol="features", weightCol="weight",
+                      predictionCol="cluster_id").fit(points)
 
-    points.persist()
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
         fits = pool.map(inheritable_thread_target(points.sparkSession)(fit), jobs, chunksize=1)
     points.unpersist()
@@ -48,17 +58,22 @@ def fit_all(points: DataFrame, jobs: Sequence[tuple[int, int]], parallelism: int
 
 
 def fit_best(points: DataFrame, k: int, restarts: int, seed: int = C.KMEANS_SEED) -> KMeansModel:
-    """The fit with the least cost among ``restarts`` seeds."""
+    """The fit with the least cost among ``restarts`` seeds; not more clusters than different points."""
+    k = min(k, points.limit(k).count())
     return min(fit_all(points, [(k, seed + i) for i in range(restarts)]), key=lambda m: m.summary.trainingCost)
 
 
 def costs_by_k(points: DataFrame, n: int, k_min: int = C.K_MIN, k_max: int = C.K_MAX,
                restarts: int = C.ELBOW_RESTARTS, seed: int = C.KMEANS_SEED) -> list[tuple[int, float]]:
-    """(k, least cost) for k from ``k_min`` to ``k_max``, staying below the number of listings ``n``."""
-    jobs = [(k, seed + i) for k in range(k_min, min(k_max + 1, n)) for i in range(restarts)]
-    costs: dict[int, float] = {}
-    for (k, _), model in zip(jobs, fit_all(points, jobs)):
-        costs[k] = min(costs.get(k, float("inf")), model.summary.trainingCost)
+    """(k, least cost) for k from ``k_min`` to ``k_max``, staying below the number of listings ``n``.
+
+    A cluster for every different point costs nothing, so larger k are not fitted.
+    """
+    distinct = points.limit(k_max + 1).count()
+    costs = {k: 0.0 if k >= distinct else float("inf") for k in range(k_min, min(k_max + 1, n))}
+    jobs = [(k, seed + i) for k in costs if k < distinct for i in range(restarts)]
+    for (k, _), model in zip(jobs, fit_all(points, jobs) if jobs else []):
+        costs[k] = min(costs[k], model.summary.trainingCost)
     return list(costs.items())
 
 
