@@ -110,17 +110,13 @@ def ingest_new_rows(spark, d):
 
 
 @query("WITH " + LISTINGS_SQL + """
-SELECT row_number() OVER (ORDER BY hash) AS position, hash
-FROM (SELECT DISTINCT hash FROM listings)""")
+SELECT count(DISTINCT hash) AS n, 11 AS first, count(DISTINCT hash) + 10 AS last, count(DISTINCT hash) AS different FROM listings""")
 def number_rows(spark, d):
-    """Dense numbers; as only their set and not their order is fixed, they are paired with the sorted hashes' places."""
+    """Numbers after 10 for every distinct listing: dense and without repeats."""
     unique = S.listings(spark, d).select("hash").distinct()
-    numbered = ingest.number_rows(unique).select("id")
-    ordered = ingest.number_rows(unique.withColumn("key", F.col("hash")), key="hash").select("id", "hash")
-    places = ordered.select("hash").join(
-        ordered.select(F.col("hash").alias("other")), F.col("other") <= F.col("hash")).groupBy("hash").agg(
-        F.count(F.lit(1)).alias("position"))
-    return places.join(numbered, places["position"] == numbered["id"], "left_semi").select("position", "hash")
+    return ingest.number_rows(unique, after=10).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").cast("int").alias("first"), F.max("id").alias("last"),
+        F.countDistinct("id").alias("different"))
 
 
 @query("SELECT doc_id AS url, lang AS source, text AS description FROM documents WHERE lang IN ('de', 'fr', 'es')")
