@@ -48,10 +48,14 @@ def keep_first(rows: DataFrame, key: str | list[str] = "hash", order: Sequence[s
     return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, key: str = "hash",
-             order: Sequence[str | Column] = ("id",)) -> DataFrame:
-    """First row of every key of ``batch`` that ``stored`` does not have."""
-    return keep_first(batch, key, order).join(stored.select(key), key, "left_anti")
+def new_rows(batch: DataFrame, stored: DataFrame, key: str = "hash") -> DataFrame:
+    """Rows of ``batch`` (one per key) whose key ``stored`` does not have.
+
+    The stored keys are first cut down to those of the batch, which Spark can do
+    without shuffling the stored table where the batch is small.
+    """
+    known = stored.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(known, key, "left_anti")
 
 
 def number_rows(rows: DataFrame, after: int = 0, key: str = "hash") -> DataFrame:
@@ -85,7 +89,7 @@ def ingest_summary(batch: DataFrame, key: str = "hash", stored: DataFrame | None
     narrow = batch.select(key, source, *order)
     fresh = keep_first(narrow, key, order)
     if stored is not None:
-        fresh = fresh.join(stored.select(key), key, "left_anti")
+        fresh = new_rows(fresh, stored, key)
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     marks = narrow.select(source, one.alias("scraped"), zero.alias("new")).unionByName(
         fresh.select(source, zero.alias("scraped"), one.alias("new")))

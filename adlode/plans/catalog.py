@@ -106,7 +106,7 @@ def ingest_new_rows(spark, d):
     """English listings against all others as if those were stored under the same company."""
     rows = S.listings(spark, d)
     stored = ingest.with_hash(rows.filter("lang <> 'en'").withColumn("company", F.lit("en")))
-    return ingest.new_rows(rows.filter("lang = 'en'").select("hash", "id"), stored)
+    return ingest.new_rows(ingest.keep_first(rows.filter("lang = 'en'").select("hash", "id")), stored)
 
 
 @query("WITH " + LISTINGS_SQL + """

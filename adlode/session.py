@@ -42,8 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new path under the shared folder, in a part of this application's own that can be removed after it."""
+    own = f"adlode-{spark.sparkContext.applicationId}"
+    return os.path.join(shared_dir(spark), own, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def settle(df: DataFrame) -> DataFrame:

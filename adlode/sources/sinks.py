@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
-from adlode.operators.ingest import new_rows, number_rows, with_hash
+from adlode.operators.ingest import keep_first, new_rows, number_rows, with_hash
 from adlode.schema import LISTING_FIELDS, RAW
 from adlode.session import settle
 from adlode.sources.tables import read_or_empty
@@ -25,8 +25,9 @@ def append_new(batch: DataFrame, path: str, arrival: str | None = None) -> int:
     spark = batch.sparkSession
     stored = read_or_empty(spark, path, RAW)
     order = [arrival] if arrival else [F.lit(0)]
-    # settled first, as numbering reads the rows twice and must see the same ones
-    fresh = settle(new_rows(with_hash(batch), stored, "hash", order).select("hash", *LISTING_FIELDS))
+    # settled, as both the comparison and the numbering read their rows twice
+    unique = settle(keep_first(with_hash(batch), "hash", order).select("hash", *LISTING_FIELDS))
+    fresh = settle(new_rows(unique, stored))
     last = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     rows = number_rows(fresh, last).withColumn("scraped_at", F.current_timestamp())
     rows.select(RAW.fieldNames()).write.mode("append").parquet(path)
