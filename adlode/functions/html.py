@@ -21,11 +21,16 @@ ENTITIES = {
     "&agrave;": "à", "&ecirc;": "ê", "&ccedil;": "ç", "&rsquo;": "’", "&ndash;": "–", "&amp;": "&",
 }
 
-# Elements that end where the next one starts.
-_SELF_ENDING = ("p", "li", "td", "tr", "th")
-_BLOCK_ENDS = "article|div|section|main|header|footer|nav|ul|ol|table|tbody|body|html"
+# Elements whose end tag may be left out, with the tags that end them.
+_OPEN_ENDED = {
+    "p": r"<(?i:p|div|ul|ol|dl|table|form|pre|blockquote|h[1-6])[\s>]"
+         r"|</(?i:p|div|article|section|main|header|footer|nav|ul|ol|li|td|tr|table|tbody|body|html)\s*>",
+    "li": r"<(?i:li)[\s>]|</(?i:li|ul|ol)\s*>",
+    "td": r"<(?i:td|th|tr)[\s>]|</(?i:td|tr|tbody|table)\s*>",
+    "tr": r"<(?i:tr)[\s>]|</(?i:tr|tbody|table)\s*>",
+}
 # Elements read with Spark's pattern functions.
-_LEAVES = _SELF_ENDING + ("a", "b", "h1", "h2", "h3", "small", "strong", "time", "title")
+_LEAVES = (*_OPEN_ENDED, "a", "b", "h1", "h2", "h3", "small", "strong", "time", "title")
 
 
 @dataclass(frozen=True)
@@ -45,12 +50,12 @@ class Pick:
         name = self.tag or r"[a-zA-Z][a-zA-Z0-9]*"
         if not self.attr:
             return rf"<(?i:{name})(?=[\s/>])[^>]*>"
-        value = re.escape(self.has)
-        if self.whole:
-            value = rf"(?:[^\"']*\s)?{value}(?:\s[^\"']*)?"
-        else:
-            value = rf"[^\"']*{value}[^\"']*"
-        return rf"<(?i:{name})(?=\s)[^>]*?\s(?i:{self.attr})\s*=\s*[\"']{value}[\"'][^>]*>"
+        def value(inside: str) -> str:
+            part = re.escape(self.has)
+            return rf"(?:{inside}*\s)?{part}(?:\s{inside}*)?" if self.whole else rf"{inside}*{part}{inside}*"
+
+        values = "|".join((f'"{value("[^\"]")}"', f"'{value("[^']")}'", value(r"[^\s\"'>]")))
+        return rf"<(?i:{name})(?=\s)[^>]*?\s(?i:{self.attr})\s*=\s*(?:{values})[^>]*>"
 
 
 def visible(html: Column) -> Column:
@@ -72,13 +77,14 @@ def inner_text(element: Column) -> Column:
 def attribute(element: Column, name: str) -> Column:
     """Value of an attribute of the element's own opening tag, '' without it."""
     opening = F.regexp_extract(element, r"^\s*(<[^>]*>)", 1)
-    return decode(F.regexp_extract(opening, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1))
+    quoted = F.regexp_extract(opening, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return decode(F.regexp_replace(quoted, """^["']|["']$""", ""))
 
 
 def leaves(html: Column, pick: Pick) -> Column:
     """Array of the elements ``pick`` names that do not contain others of their kind."""
-    if pick.tag in _SELF_ENDING:
-        end = rf"(?=<(?i:{pick.tag})[\s>]|</(?i:{pick.tag}|{_BLOCK_ENDS})\s*>|$)"
+    if pick.tag in _OPEN_ENDED:
+        end = f"(?={_OPEN_ENDED[pick.tag]}|$)"
     else:
         end = rf"</(?i:{pick.tag})\s*>"
     return F.regexp_extract_all(html, F.lit(rf"(?s)({pick.opening()}.*?){end}"), F.lit(1))

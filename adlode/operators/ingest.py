@@ -13,11 +13,15 @@ ID_BUCKETS = 4096
 
 
 def normalise_record(rows: DataFrame, portal: str) -> DataFrame:
-    """The nine listing fields, '' where a field is missing, ``source`` set to the portal."""
+    """The nine listing fields, '' where a field is missing, ``source`` set to the portal.
+
+    A column ``arrival`` that orders the listings is kept beside them.
+    """
     present = set(rows.columns)
     fields = [text(F.col(f)) if f in present else F.lit("") for f in LISTING_FIELDS if f != "source"]
     return rows.select(
-        *[c.alias(f) for c, f in zip(fields, LISTING_FIELDS)], F.lit(portal).alias("source"))
+        *[c.alias(f) for c, f in zip(fields, LISTING_FIELDS)], F.lit(portal).alias("source"),
+        *[F.col(c) for c in rows.columns if c == "arrival"])
 
 
 def drop_untitled(rows: DataFrame, title: str = "title") -> DataFrame:

@@ -44,14 +44,17 @@ def page_cards(pages: DataFrame, picks: Sequence[Pick], up: str = "") -> DataFra
     return cards.select("*", "_card.element", "_card.outer").drop("_card").withColumnRenamed("element", "card")
 
 
-def page_links(html: Column, sources: Sequence[Column], base: str, fragment: str = "") -> Column:
-    """Ordered distinct absolute hrefs of the first of ``sources`` (arrays of links) that yields any."""
-    def hrefs(links):
-        found = F.filter(F.transform(links, lambda a: H.attribute(a, "href")),
-                         lambda h: (h != "") & F.contains(h, F.lit(fragment)))
-        return F.array_distinct(F.transform(found, lambda h: absolute_url(h, base)))
+def page_links(sources: Sequence[Column], base: str, fragment: str = "") -> Column:
+    """Ordered distinct absolute hrefs of the first of ``sources`` (arrays of links) that has any link."""
+    chosen = F.coalesce(*[F.when(F.size(s) > 0, s) for s in sources], F.array().cast("array<string>"))
+    found = F.filter(F.transform(chosen, lambda a: H.attribute(a, "href")),
+                     lambda h: (h != "") & F.contains(h, F.lit(fragment)))
+    return F.array_distinct(F.transform(found, lambda h: absolute_url(h, base)))
 
-    return F.coalesce(*[F.when(F.size(hrefs(s)) > 0, hrefs(s)) for s in sources], F.array().cast("array<string>"))
+
+def arrival(position: Column) -> Column:
+    """Order in which a portal shows its listings: by page, then by place on the page."""
+    return (F.col("page_no").cast("long") * 2 ** 32 + position).alias("arrival")
 
 
 # ---- portals that show whole listings as cards ------------------------------------------------
@@ -63,6 +66,7 @@ def read_job_cards(pages: DataFrame, base: str) -> DataFrame:
     card = F.col("card")
     rows = page_cards(pages, picks).select(
         "page_no",
+        arrival(F.col("card_no")),
         H.first(card, Pick("h2"), Pick("h3"), Pick(attr="class", has="title")).alias("heading"),
         absolute_url(H.attribute(H.first(card, Pick("a", "href")), "href"), base).alias("url"),
         shown(H.first(card, *COMPANY)).alias("company"),
@@ -80,6 +84,7 @@ def read_labelled_cards(pages: DataFrame, base: str) -> DataFrame:
     items = H.leaves(card, Pick("li"))
     rows = cards.filter("outer <> ''").select(
         "page_no",
+        arrival(F.col("card_no")),
         shown(F.coalesce(H.within(card, Pick("h3"), Pick("a")), H.within(card, Pick("h2"), Pick("a")))).alias("title"),
         absolute_url(H.attribute(F.col("outer"), "data-href"), base).alias("url"),
         shown(H.first(card, Pick("a", "class", "card-job-company", whole=True))).alias("company"),
@@ -93,13 +98,15 @@ def read_labelled_cards(pages: DataFrame, base: str) -> DataFrame:
 def read_table_rows(pages: DataFrame, base: str, min_cells: int = 4) -> DataFrame:
     """Rows of a listing table: logo, title and company, place and job type, date."""
     body = H.first(H.visible(F.col("html")), Pick("tbody", "class", "wpjb-job-list", whole=True))
-    rows = pages.withColumn("_body", body).select("page_no", F.explode(H.leaves(F.col("_body"), Pick("tr"))).alias("row"))
+    rows = pages.withColumn("_body", body).select(
+        "page_no", F.posexplode(H.leaves(F.col("_body"), Pick("tr"))).alias("row_no", "row"))
     cells = rows.withColumn("cells", H.leaves(F.col("row"), Pick("td"))).filter(F.size("cells") >= min_cells)
     cell = [F.get("cells", F.lit(i)) for i in range(min_cells)]
     link = H.first(cell[1], Pick("a"))
     href = H.attribute(link, "href")
     return drop_untitled(cells.select(
         "page_no",
+        arrival(F.col("row_no")),
         shown(link).alias("title"),
         shown(H.first(cell[1], Pick("small", "class", "wpjb-sub", whole=True))).alias("company"),
         before_word(shown(cell[2])).alias("city"),
@@ -111,11 +118,12 @@ def read_table_rows(pages: DataFrame, base: str, min_cells: int = 4) -> DataFram
 # ---- portals that link to a page per listing --------------------------------------------------
 
 def harvest_view_links(pages: DataFrame, base: str) -> DataFrame:
+    """The first link of every heading that leads to a listing; without any, all such links."""
     page = F.col("html")
-    links = page_links(page, [H.all_within(page, Pick("h2"), Pick("a", "href"))], base, "/view")
-    direct = page_links(page, [H.leaves(page, Pick("a", "href", "/view?id="))], base)
-    found = F.when(F.size(links) > 0, links).otherwise(direct)
-    return pages.withColumn("html", H.visible(page)).withColumn("links", found)
+    headings = F.transform(H.leaves(page, Pick("h2")), lambda h: F.get(H.leaves(h, Pick("a", "href")), 0))
+    headed = page_links([F.array_compact(headings)], base, "/view")
+    direct = page_links([H.leaves(page, Pick("a", "href", "/view?id="))], base)
+    return pages.withColumn("html", H.visible(page)).withColumn("links", F.when(F.size(headed) > 0, headed).otherwise(direct))
 
 
 def harvest_job_links(pages: DataFrame, base: str) -> DataFrame:
@@ -127,7 +135,7 @@ def harvest_job_links(pages: DataFrame, base: str) -> DataFrame:
         H.all_within(page, Pick("h3"), Pick("a", "href")),
         H.leaves(page, Pick("a", "href", "/jobs/")),
     ]
-    links = F.array_remove(page_links(page, sources, base), base)
+    links = F.array_remove(page_links(sources, base), base)
     return pages.withColumn("html", H.visible(page)).withColumn("links", links)
 
 
@@ -170,8 +178,8 @@ def read_details(details: DataFrame) -> DataFrame:
 
 def follow_links(pages: DataFrame, details: DataFrame, harvest: Callable, read: Callable, base: str) -> DataFrame:
     """Listings behind the links of listing pages, from the captured detail pages."""
-    links = harvest(pages, base).select("page_no", F.explode("links").alias("url"))
-    return links.join(read(details.select("url", "html")), "url")
+    links = harvest(pages, base).select("page_no", F.posexplode("links").alias("place", "url"))
+    return links.select("page_no", arrival(F.col("place")), "url").join(read(details.select("url", "html")), "url")
 
 
 # ---- which pages count ------------------------------------------------------------------------

@@ -216,7 +216,7 @@ FROM pages p LEFT JOIN firsts f USING (page_id) GROUP BY p.page_id""")
 def page_links(spark, d):
     """Links below headings, else all; only those with the fragment."""
     page = F.col("html")
-    links = P.page_links(page, [H.all_within(page, Pick("h2"), Pick("a", "href")), H.leaves(page, Pick("a", "href"))],
+    links = P.page_links([H.all_within(page, Pick("h2"), Pick("a", "href")), H.leaves(page, Pick("a", "href"))],
                          "https://site.example", "th")
     return _captured(spark, d).select("page_id", links.alias("l")).select(
         "page_id", F.array_join("l", " ").alias("links"), F.size("l").cast("long").alias("n"))

@@ -15,16 +15,16 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_new(batch: DataFrame, path: str, arrival: str | None = None) -> int:
+def append_new(batch: DataFrame, path: str) -> int:
     """Append the listings the table does not have yet; returns how many.
 
     Safe to repeat: rows stored by an earlier, interrupted attempt are recognised
-    by their hash. ``arrival`` is an ordering column that says which of equal
-    listings came first; without it any one of them is kept.
+    by their hash. Of equal listings the one with the least ``arrival`` is kept;
+    without such a column, the one that sorts first.
     """
     spark = batch.sparkSession
     stored = read_or_empty(spark, path, RAW)
-    order = [arrival] if arrival else [F.lit(0)]
+    order = ["arrival"] if "arrival" in batch.columns else LISTING_FIELDS
     # settled, as both the comparison and the numbering read their rows twice
     unique = settle(keep_first(with_hash(batch), "hash", order).select("hash", *LISTING_FIELDS))
     fresh = settle(new_rows(unique, stored))

@@ -19,10 +19,10 @@ CARDS = """<div class="job-card"><h2>Title <em>A</em></h2><a href="/j/1">go</a><
 <div class="job-location"><div>Douala</div> Bonanjo</div><p>Desc<p>other<span class="date">today</span></div>
 <article class="job"><h3>not reached</h3></article><div class="big job-card x"><h3>T2</h3></div>
 <div class="job-card"><p>no heading</p></div>"""
-ROWS = """<table><tbody class="wpjb-job-list"><tr><td></td><td><a href="/job/1">Dev</a><small class="wpjb-sub">Corp</small></td>
+ROWS = """<table><tbody class="wpjb-job-list"><tr><td><div><img src="x"></div> logo</td><td><a href="/job/1">Dev</a><small class="wpjb-sub">Corp</small></td>
 <td>Douala, Cameroon, Full-time</td><td>Apr 1<br/>2026</td></tr><tr><td>too few</td></tr>
 <tr><td></td><td><a href="http://z/2"> </a></td><td></td><td></td></tr></tbody></table>"""
-VIEWS = '<h2><a href="/view?id=1">x</a></h2><h2><a href="/other">y</a></h2><h2><a href="/view?id=1">x</a></h2>'
+VIEWS = '<h2><a href="/view?id=1">x</a><a href="/view?id=7">second</a></h2><h2><a href="/other">y</a></h2><h2><a href="/view?id=1">x</a></h2>'
 VIEW = """<h1>Data Eng</h1><div class="job-company">Acme • Douala</div>
 <div class="description"><div>Python</div> and SQL</div><p>Il y a 3 jours</p>"""
 JOBS = '<article><a href="/job/9">z</a></article><h2><a href="/h2">n</a></h2>'
@@ -101,7 +101,26 @@ def test_links(column):
     page = '<h2><a href="/a">1</a></h2><a href="/b">2</a><a href="http://c/a">3</a><a href="/a">4</a>'
     everything = H.leaves(F.col("v"), Pick("a", "href"))
     headed = H.all_within(F.col("v"), Pick("h2"), Pick("a", "href"))
-    assert column([(page,)], "v string", P.page_links(F.col("v"), [headed, everything], "https://s")) == [["https://s/a"]]
-    assert column([(page,)], "v string", P.page_links(F.col("v"), [everything], "https://s", "a")) == [
+    assert column([(page,)], "v string", P.page_links([headed, everything], "https://s")) == [["https://s/a"]]
+    assert column([(page,)], "v string", P.page_links([everything], "https://s", "a")) == [
         ["https://s/a", "http://c/a"]]
-    assert column([("",)], "v string", P.page_links(F.col("v"), [headed, everything], "https://s")) == [[]]
+    assert column([("",)], "v string", P.page_links([headed, everything], "https://s")) == [[]]
+
+
+def test_attributes(column):
+    rows = [("""<a title="l'offre" href="/d'été/job">x</a>""",), ("<a href='/y?a=1&amp;b=2'>x</a>",), ("<a href=/z class=k>x</a>",),
+            ("<a>x</a>",)]
+    assert column(rows, "v string", H.attribute(F.col("v"), "href")) == ["/d'été/job", "/y?a=1&b=2", "/z", ""]
+    assert column(rows, "v string", F.size(H.leaves(F.col("v"), Pick("a", "href", "/")))) == [1, 1, 1, 0]
+    assert column(rows, "v string", F.size(H.leaves(F.col("v"), Pick("a", "class", "k", whole=True)))) == [0, 0, 1, 0]
+
+
+def test_first_shown_listing_is_kept(spark, tmp_path):
+    card = '<div class="job-card"><h2>Same</h2><p>{}</p></div>'
+    pages = spark.createDataFrame(
+        [("workconnect", 2, "u", card.format("late")), ("workconnect", 1, "u", card.format("b") + card.format("a"))],
+        "portal string, page_no int, url string, html string")
+    from adlode.sources.sinks import append_new
+    path = str(tmp_path / "jobs")
+    assert append_new(P.all_listings(pages, only="workconnect"), path) == 1
+    assert spark.read.parquet(path).first()["description"] == "b"
