@@ -48,7 +48,10 @@ def _builtin(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
     plain = {a: c for a, c in as_word.items() if re.fullmatch(f"[{C.WORD_CHARS}]+", a)}
     if plain:
         names = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
-        hits = F.regexp_extract_all(lowered, F.lit(_bounded(f"(?:{'|'.join(plain)})")), F.lit(0))
+        # most positions are ruled out by their character alone
+        firsts = "".join(sorted({a[0] for a in plain}))
+        pattern = f"(?=[{firsts}]){_bounded(f'(?:{'|'.join(plain)})')}"
+        hits = F.regexp_extract_all(lowered, F.lit(pattern), F.lit(0))
         parts.append(F.transform(F.array_distinct(hits), lambda alias: F.try_element_at(names, alias)))
     others = {a: c for a, c in as_word.items() if a not in plain}
     if others:

@@ -22,8 +22,8 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def event_time(column: str):
-    """Zone-less timestamps read as UTC, since watermarks need an instant."""
-    return F.col(column).cast("timestamp")
+    """Zone-less timestamps read as UTC whatever the session's zone, since watermarks need an instant."""
+    return F.from_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone())
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -55,9 +55,10 @@ def stream_ingest(stream: DataFrame, table: str, checkpoint: str) -> None:
 def weekly_trend(rows: DataFrame, time: str, category: str, period: str = "7 days") -> DataFrame:
     """(week, category, count): rows per category and period; batch or stream."""
     week = F.window(F.col(time), period)
+    start = F.to_utc_timestamp("week.start", F.current_timezone())
     return (
         rows.groupBy(week.alias("week"), category).agg(F.count(F.lit(1)).alias("count"))
-        .select(F.date_format("week.start", "yyyy-MM-dd").alias("week"), category, "count")
+        .select(F.date_format(start, "yyyy-MM-dd").alias("week"), category, "count")
     )
 
 

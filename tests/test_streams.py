@@ -44,3 +44,17 @@ def test_ingest_stream_goes_on_where_it_stopped(spark, tmp_path):
     refresh.stream_ingest(stream, table, progress)
     assert spark.read.parquet(table).count() == 2 * expected
     assert list(rows.columns) == list(LISTING_FIELDS)
+
+
+def test_weeks_do_not_depend_on_the_session_zone(spark):
+    def weeks():
+        events = spark.read.parquet(EVENTS).withColumn("ts", refresh.event_time("ts"))
+        return sorted(map(tuple, refresh.weekly_trend(events, "ts", "event_type").collect()))
+
+    expected = weeks()
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert weeks() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
