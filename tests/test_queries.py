@@ -40,3 +40,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in plan
     plan = contract.queries()["filter_multi"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "In(lang, [" in plan.split("PushedFilters")[1]
+
+
+@pytest.mark.parametrize("name", ["skill_frequency", "itemsets_orders", "group_profiles", "ingest_summary", "top_skills_per_group"])
+def test_results_do_not_depend_on_partitioning(spark, name):
+    def rows():
+        return sorted(map(str, contract.queries()[name](spark, SMALL).collect()))
+
+    expected = rows()
+    try:
+        for partitions in ("1", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert rows() == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

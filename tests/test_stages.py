@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from adlode import schema
 from adlode.operators import stats, views
-from adlode.plans import pipeline
+from adlode.plans import stages
 from tests.test_pages import PAGES
 
 TAXONOMY = """canonical,aliases,category
@@ -24,17 +24,17 @@ def taxonomy_file(tmp_path):
 def test_run_all(spark, tmp_path, taxonomy_file):
     store, exports = str(tmp_path / "store"), str(tmp_path / "exports")
     pages = spark.createDataFrame(PAGES, "portal string, page_no int, url string, html string")
-    results = pipeline.run_all(spark, pages, store, taxonomy_file, exports)
+    results = stages.run_all(spark, pages, store, taxonomy_file, exports)
     assert list(results) == ["skill_frequency"]  # two listings with skills are too few to mine
     assert [tuple(r) for r in results["skill_frequency"].collect()][0] == ("SQL", 2, 28.6)
-    assert pipeline.load_clean(spark, store).count() == 7
-    assert pipeline.run_ingest(spark, pages, store) == 0
+    assert stages.load_clean(spark, store).count() == 7
+    assert stages.run_ingest(spark, pages, store) == 0
 
 
 def test_cleaning_without_listings_seeds_and_drops_the_seed(spark, tmp_path, taxonomy_file):
-    frequency = pipeline.run_cleaning(spark, str(tmp_path), taxonomy_file)
+    frequency = stages.run_cleaning(spark, str(tmp_path), taxonomy_file)
     assert frequency.count() == 0 and frequency.schema == schema.FREQUENCY
-    assert pipeline.run_mining(spark, str(tmp_path)) == {}
+    assert stages.run_mining(spark, str(tmp_path)) == {}
 
 
 def test_mining_writes_every_table(spark, tmp_path):
@@ -45,10 +45,10 @@ def test_mining_writes_every_table(spark, tmp_path):
         if field.name not in clean.columns:
             clean = clean.withColumn(field.name, F.lit(None).cast(field.dataType))
     clean.select(schema.CLEAN.fieldNames()).write.parquet(f"{tmp_path}/jobs_clean")
-    results = pipeline.run_mining(spark, str(tmp_path), str(tmp_path / "exports"))
+    results = stages.run_mining(spark, str(tmp_path), str(tmp_path / "exports"))
     assert results["association_rules"].count() > 0 and results["job_clusters"].count() == 60
     assert sum(r["size"] for r in results["cluster_profiles"].collect()) == 60
-    shown = views.with_archetypes(pipeline.load_clean(spark, str(tmp_path)), results["job_clusters"])
+    shown = views.with_archetypes(stages.load_clean(spark, str(tmp_path)), results["job_clusters"])
     assert shown.count() == 80 and stats.archetype_counts(shown).agg(F.sum("count")).first()[0] == 60
 
 
