@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adlode import constants as C
 from adlode.functions.rounding import round_scaled
+from adlode.functions.text import once
 from adlode.operators.stats import top_per_group
 
 
@@ -22,14 +23,12 @@ def archetype(top_skills: Column, rules=C.ARCHETYPE_RULES, singles: Mapping[str,
         F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name"))
         for i, (score, (name, _)) in enumerate(zip(scores, rules))
     ])
-    best = F.array_max(ranked)
     names = F.create_map(*[F.lit(x) for pair in singles.items() for x in pair])
     single = F.get(F.array_compact(F.transform(top_skills, lambda s: F.try_element_at(names, s))), 0)
-    return (
+    return once(F.array_max(ranked), lambda best: (
         F.when(best["score"] >= 2, best["name"])
         .when(best["score"] == 1, F.coalesce(single, F.lit(default)))
-        .otherwise(F.lit(default))
-    )
+        .otherwise(F.lit(default))))
 
 
 def archetype_scores(profiles: DataFrame, skills: str = "skills", **options) -> DataFrame:
