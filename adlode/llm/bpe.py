@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlode.llm.common import record_batch, slices, table
 from adlode.llm.records import vocabulary
@@ -187,7 +188,7 @@ def encode(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids
         coder = ForcedBoundaryBpe(definition)
         return lambda batch: [_int_lists([coder.encode(t or "") for t in batch.column(text).to_pylist()])]
 
-    return _appended(docs, run, {ids: "array<int>"})
+    return _appended(docs, run, {ids: T.ArrayType(T.IntegerType())})
 
 
 def decode(coded: DataFrame, definition: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -196,7 +197,7 @@ def decode(coded: DataFrame, definition: str, ids: str = "ids", text: str = "dec
         coder = ForcedBoundaryBpe(definition)
         return lambda batch: [pa.array([coder.decode(x or []) for x in batch.column(ids).to_pylist()], pa.string())]
 
-    return _appended(coded, run, {text: "string"})
+    return _appended(coded, run, {text: T.StringType()})
 
 
 def encode_decode(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -210,7 +211,7 @@ def encode_decode(docs: DataFrame, definition: str, text: str = "text", ids: str
             return [_int_lists(coded), pa.array(back, pa.string())]
         return both
 
-    return _appended(docs, run, {ids: "array<int>", decoded: "string"})
+    return _appended(docs, run, {ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()})
 
 
 def query(spark, sf_dir: str) -> DataFrame:

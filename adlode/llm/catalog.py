@@ -1,11 +1,13 @@
 """The registered queries of this package and their SQL."""
 
-from adlode.llm import bpe, chat, mixing, records, topk
+from adlode.llm import bpe, chat, jaccard, mixing, outliers, records, topk
 
 QUERIES = {
     "op2_mix_sources": mixing.query,
     "op5_token_records": records.query,
+    "op6_robust_outliers": outliers.query,
     "op7_chat_format": chat.query,
+    "op8_jaccard_groups": jaccard.query,
     "op9_forced_boundary_bpe": bpe.query,
     "op10_exact_topk": topk.query,
 }
