@@ -222,8 +222,8 @@ def _labelled(prefixes: DataFrame, links: DataFrame | None) -> DataFrame:
             .select("token", "node", "n", F.coalesce("component", "node").alias("component")))
 
 
-def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """Links (a, b) between distinct sets (node, n, tokens, second, third) that join all components; None without any."""
+def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between distinct sets (node, n, tokens, second, third) that join all components."""
     rows = sets.select("node", "n", F.explode("tokens").alias("token"))
     common = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = rows.join(common, "token")
@@ -283,7 +283,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
                       .select(F.col("hi").alias("c_hi"), F.col("lo").alias("c_lo"), F.coalesce("component", "node").alias("component")))
     joined = known.join(of_class, (F.col("hi") == F.col("c_hi")) & (F.col("lo") == F.col("c_lo")), "left")
     rows = joined.select("doc_id", F.col("n").alias("n_shingles"),
-                         F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
                          F.col("copies"))
     return rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
 
