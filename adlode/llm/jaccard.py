@@ -26,6 +26,7 @@ rows. Further columns of the input are kept by ``one_of_each``.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,12 +130,12 @@ def _sampled(buckets: int, percent: int, width: int):
 def _counted(rows: pa.Table) -> pa.Table:
     """One bucket: its documents' rows, and how many of each document's tokens others have too."""
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "need", "hi", "lo", "cnt")])
-    documents = rows.filter(pa.compute.is_valid(rows["n"])).select(schema.names)
-    lists = rows.filter(pa.compute.is_valid(rows["tokens"]))
-    tokens = pa.compute.list_flatten(lists["tokens"]).to_numpy()
-    owners = pa.compute.list_flatten(lists["owners"])
-    known = pa.compute.is_valid(owners).to_numpy()
-    owners = pa.compute.fill_null(owners, 0).to_numpy()
+    documents = rows.filter(pc.is_valid(rows["n"])).select(schema.names)
+    lists = rows.filter(pc.is_valid(rows["tokens"]))
+    tokens = pc.list_flatten(lists["tokens"]).to_numpy()
+    owners = pc.list_flatten(lists["owners"])
+    known = pc.is_valid(owners).to_numpy()
+    owners = pc.fill_null(owners, 0).to_numpy()
     order = np.argsort(tokens, kind="stable")
     tokens, owners, known = tokens[order], owners[order], known[order]
     if not len(tokens):
