@@ -4,6 +4,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlode.session import settle
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,3 +46,15 @@ def uniform(seed: str, key):
 def fold(key, folds: int):
     """crc32 of the id as text, modulo ``folds``; rows without an id belong to fold 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))
+
+
+def balanced_sample(rows: DataFrame, group: str, key: str, size: int, seed: str) -> DataFrame:
+    """About equally many rows of every ``group``, at most ``size`` in all, chosen by a hash of ``key``.
+
+    A row's place within its group is estimated as hash * group size, so one bounded top-k over
+    narrow rows replaces a window over a group that may hold most of the table.
+    """
+    counts = settle(rows.groupBy(group).agg(F.count("*").alias("sample_n")))
+    place = uniform(seed, F.col(key)) * F.col("sample_n")
+    joined = rows.join(counts, group)
+    return joined.withColumn("sample_place", place).orderBy("sample_place", key).limit(size).drop("sample_n", "sample_place")

@@ -75,89 +75,123 @@ def least_common(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-PROFILE = "doc_id long, n long, need long, hi long, lo long, cnt long"
+#: Documents' rows travel as arrays, one row per batch and block of documents.
+FIELDS = ("doc_id", "copies", "n", "need", "hi", "lo", "cnt")
+ARRAYS = ", ".join(f"{f} array<long>" for f in FIELDS)
+
+
+def _lists(offsets, columns) -> list:
+    offsets = pa.array(np.asarray(offsets, np.int32))
+    return [pa.ListArray.from_arrays(offsets, c) for c in columns]
+
+
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by ``key`` and the offsets of its runs, the end included."""
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    runs = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return order, np.append(runs, len(key))
+
+
+def _block(ids: np.ndarray, blocks: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+
+
+def _nothing(n: int, columns: int) -> list:
+    return [pa.nulls(n, pa.list_(pa.int64()))] * columns
 
 
 def _sampled(buckets: int, percent: int, width: int):
-    schema = pa.schema([("bucket", pa.int32()), ("tokens", pa.list_(pa.int64())), ("owners", pa.list_(pa.int64())),
-                        ("doc_id", pa.int64()), ("n", pa.int64()), ("need", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()),
-                        ("cnt", pa.int64())])
+    kinds = [("bucket", pa.int32()), ("block", pa.int32()), ("tokens", pa.list_(pa.int64())), ("owners", pa.list_(pa.int64()))]
+    schema = pa.schema([*kinds, *[(f, pa.list_(pa.int64())) for f in FIELDS]])
 
     def run(batches):
         shingles = Shingles(width)
         for batch in slices(batches, BATCH):
-            ids = batch.column(0).to_pylist()
-            sets, marks, first = [], [], {}
-            for doc_id, text in zip(ids, batch.column(1).to_pylist()):
+            documents, sets, owners = {}, [], {}  # (id, set's mark) -> place; sets; mark -> place of the smallest id
+            copies = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingles(text)
-                mark = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8").tolist()
+                mark = tuple(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8").tolist())
+                place = documents.setdefault((doc_id, mark), len(sets))
+                if place < len(sets):
+                    copies[place] += 1
+                    continue
+                copies.append(1)
                 sets.append((len(found), found[found < np.uint64(1 << 63)].astype(np.int64)))
-                marks.append(mark)
-                key = tuple(mark)
-                if doc_id is not None and len(found) and (key not in first or doc_id < ids[first[key]]):
-                    first[key] = len(sets) - 1
-            own = sorted(first.values())
+                if doc_id is not None and len(found) and (mark not in owners or doc_id < owners[mark][0]):
+                    owners[mark] = doc_id, place
+            own = sorted(place for _, place in owners.values())
             tokens = np.concatenate([np.zeros(0, np.int64), *[sets[i][1] for i in own]])
             owner = np.repeat(np.array(own, np.int64), [len(sets[i][1]) for i in own])
-            order = np.argsort(tokens, kind="stable")
-            tokens, owner = tokens[order], owner[order]
-            start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
-            times = np.diff(np.append(start, len(tokens)))
-            shared = np.repeat(times > 1, times)
-            counts = np.bincount(owner[shared], minlength=len(sets))
-            names = np.array([0 if i is None else i for i in ids], np.int64)
-            # One row per token: its owner, or nothing where the batch has counted it already.
-            token, holder, single = tokens[start], names[owner[start]] if len(tokens) else names[:0], times == 1
-            bucket = token % buckets
-            order = np.argsort(bucket, kind="stable")
-            token, holder, single, bucket = token[order], holder[order], single[order], bucket[order]
-            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-            offsets = pa.array(np.append(edges, len(bucket)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, v) for v in (
-                pa.array(token), pa.array(holder, mask=~single))]
-            nothing = pa.nulls(len(edges), pa.int64())
-            yield record_batch(schema, [pa.array(bucket[edges].astype(np.int32)), *lists, *[nothing] * 6])
-            n = [x[0] for x in sets]
-            need = [len(x[1]) - (x[0] - least_common(x[0], percent)) for x in sets]
-            empty = pa.nulls(len(ids), pa.list_(pa.int64()))
-            spread = pa.array((np.arange(len(ids)) % buckets).astype(np.int32))
-            yield record_batch(schema, [spread, empty, empty, batch.column(0), n, need, [m[0] for m in marks],
-                                        [m[1] for m in marks], counts.tolist()])
+            order, runs = _grouped(tokens)
+            tokens, owner, times = tokens[order], owner[order], np.diff(runs)
+            counts = np.bincount(owner[np.repeat(times > 1, times)], minlength=len(sets))
+            ids = np.array([0 if i is None else i for i, _ in documents], np.int64)
+            # One entry per token: its owner, or nothing where the batch has counted it already.
+            token, holder, several = tokens[runs[:-1]], ids[owner[runs[:-1]]], times > 1
+            order, runs = _grouped(token % buckets)
+            token, holder, several = token[order], holder[order], several[order]
+            yield record_batch(schema, [
+                pa.array((token[runs[:-1]] % buckets).astype(np.int32)), pa.nulls(len(runs) - 1, pa.int32()),
+                *_lists(runs, [pa.array(token), pa.array(holder, mask=several)]), *_nothing(len(runs) - 1, len(FIELDS))])
+            need = [s - (n - least_common(n, percent)) for n, s in ((n, len(h)) for n, h in sets)]
+            hi, lo = (np.array([m[k] for _, m in documents], np.int64) for k in (0, 1))
+            order, runs = _grouped(_block(ids, buckets))
+            columns = [np.array(c, np.int64)[order] for c in (ids, copies, [n for n, _ in sets], need, hi, lo, counts)]
+            missing = np.array([i is None for i, _ in documents], bool)[order]
+            block = _block(columns[0][runs[:-1]], buckets).astype(np.int32)
+            yield record_batch(schema, [
+                pa.array(block), pa.array(block), *_nothing(len(block), 2),
+                *_lists(runs, [pa.array(columns[0], mask=missing), *map(pa.array, columns[1:])])])
+
+    return run
+
+
+def _counted(buckets: int):
+    """One bucket of tokens: how many of each document's tokens others have too, by block of documents."""
+    schema = pa.schema([("block", pa.int32()), *[(f, pa.list_(pa.int64())) for f in FIELDS]])
+
+    def run(rows: pa.Table) -> pa.Table:
+        passed = rows.filter(pc.is_valid(rows["block"])).select(schema.names).cast(schema)
+        lists = rows.filter(pc.is_valid(rows["tokens"]))
+        tokens, owners = (pc.list_flatten(lists[c]) for c in ("tokens", "owners"))
+        known, owners, tokens = pc.is_valid(owners).to_numpy(), pc.fill_null(owners, 0).to_numpy(), tokens.to_numpy()
+        order, runs = _grouped(tokens)
+        elsewhere = np.repeat(np.diff(runs) > 1, np.diff(runs)) & known[order]
+        ids, counts = np.unique(owners[order][elsewhere], return_counts=True)
+        order, runs = _grouped(_block(ids, buckets))
+        ids, n = ids[order], len(runs) - 1
+        sums = _lists(runs, [pa.array(ids), pa.array(counts[order].astype(np.int64))])
+        mine = pa.Table.from_arrays([pa.array(_block(ids[runs[:-1]], buckets).astype(np.int32)), sums[0], *_nothing(n, 5), sums[1]],
+                                    schema=schema)
+        return pa.concat_tables([passed, mine])
 
     return run
 
 
-def _counted(rows: pa.Table) -> pa.Table:
-    """One bucket: its documents' rows, and how many of each document's tokens others have too."""
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "need", "hi", "lo", "cnt")])
-    documents = rows.filter(pc.is_valid(rows["n"])).select(schema.names)
-    lists = rows.filter(pc.is_valid(rows["tokens"]))
-    tokens = pc.list_flatten(lists["tokens"]).to_numpy()
-    owners = pc.list_flatten(lists["owners"])
-    known = pc.is_valid(owners).to_numpy()
-    owners = pc.fill_null(owners, 0).to_numpy()
-    order = np.argsort(tokens, kind="stable")
-    tokens, owners, known = tokens[order], owners[order], known[order]
-    if not len(tokens):
-        return documents
-    same = tokens[1:] == tokens[:-1]
-    elsewhere = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    ids, counts = np.unique(owners[elsewhere & known], return_counts=True)
-    nothing = pa.nulls(len(ids), pa.int64())
-    return pa.concat_tables([documents.cast(schema), pa.Table.from_arrays(
-        [pa.array(ids), *[nothing] * 4, pa.array(counts.astype(np.int64))], schema=schema)])
+def _summed(rows: pa.Table) -> pa.Table:
+    """One block of documents: one row per id and set, with the counts of all buckets."""
+    schema = pa.schema([(f, pa.int64()) for f in FIELDS])
+    full = pc.is_valid(rows["n"])
+    documents = pa.Table.from_arrays([pc.list_flatten(rows.filter(full)[f]) for f in FIELDS], schema=schema)
+    parts = rows.filter(pc.invert(full))
+    extra = pa.Table.from_arrays([pc.list_flatten(parts[c]) for c in ("doc_id", "cnt")], names=["doc_id", "more"])
+    more = extra.group_by("doc_id").aggregate([("more", "sum")])
+    once = documents.group_by(["doc_id", "hi", "lo"]).aggregate([("copies", "sum"), ("n", "max"), ("need", "max"), ("cnt", "max")])
+    both = once.join(more, "doc_id", join_type="left outer")
+    total = pc.add(both["cnt_max"], pc.fill_null(both["more_sum"], 0))
+    return pa.Table.from_arrays([both["doc_id"], both["copies_sum"], both["n_max"], both["need_max"], both["hi"], both["lo"], total],
+                                schema=schema)
 
 
 def profiles(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -> DataFrame:
-    """doc_id, copies, n, need, hi, lo, cnt: one row per id; hi and lo identify the set."""
+    """doc_id, copies, n, need, hi, lo, cnt: one row per id and set; hi and lo identify the set."""
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kinds = f"bucket int, tokens array<long>, owners array<long>, {PROFILE}"
-    sampled = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text)).mapInArrow(_sampled(buckets, percent, width), kinds)
-    counted = sampled.groupBy("bucket").applyInArrow(_counted, PROFILE)
-    return settle(counted.groupBy("doc_id").agg(
-        F.count("n").alias("copies"), F.max("n").alias("n"), F.max("need").alias("need"),
-        F.max(F.struct("n", "hi", "lo")).alias("mark"), F.sum("cnt").alias("cnt"))
-        .select("doc_id", "copies", "n", "need", "mark.hi", "mark.lo", "cnt"))
+    sampled = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text))
+               .mapInArrow(_sampled(buckets, percent, width), f"bucket int, block int, tokens array<long>, owners array<long>, {ARRAYS}"))
+    counted = sampled.groupBy("bucket").applyInArrow(_counted(buckets), f"block int, {ARRAYS}")
+    return settle(counted.groupBy("block").applyInArrow(_summed, ", ".join(f"{f} long" for f in FIELDS)))
 
 
 def _set_rows(percent: int, width: int):
@@ -220,7 +254,7 @@ def _labelled(prefixes: DataFrame, links: DataFrame | None) -> DataFrame:
         return prefixes.withColumn("component", F.col("node"))
     labels = components(links).toDF("k", "component")
     return (prefixes.join(labels, F.col("node") == F.col("k"), "left")
-            .select("token", "node", "n", F.coalesce("component", "node").alias("component")))
+            .select("token", "node", "n", "weight", F.coalesce("component", "node").alias("component")))
 
 
 def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -232,10 +266,13 @@ def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Tokens of this document alone come first in the order, so they use up its prefix before the shared ones.
     left = F.greatest(F.lit(0), F.col("n") - need + 1 - (F.col("n") - F.size("line"))).cast("int")
     prefixes = settle(shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("line"))
-                      .select("node", "n", F.explode(F.slice("line", F.lit(1), left)).alias("one"))
-                      .select("one.token", "node", "n"))
+                      .withColumn("weight", (F.aggregate("line", F.lit(0).cast("long"), lambda s, x: s + x["df"]) * 16 / F.col("n")).cast("long"))
+                      .select("node", "n", "weight", F.explode(F.slice("line", F.lit(1), left)).alias("one"))
+                      .select("one.token", "node", "n", "weight"))
     nodes, links, labelled = sets.count(), None, _labelled(prefixes, None)
-    spread = F.struct(F.xxhash64("node").alias("h"), "node", "n", "component")
+    # The first hub is the document whose tokens are the most frequent, the text that copies were made from;
+    # where that is missing, later rounds try others.
+    spread = F.struct((-F.col("weight")).alias("h"), "node", "n", "component")
     while True:
         hubs = (labelled.groupBy("token").agg(F.min(spread).alias("hub"), F.count("*").alias("members"),
                                               F.min("component").alias("low"), F.max("component").alias("high"))
@@ -258,7 +295,7 @@ def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
     major = (sizes.groupBy("token").agg(F.max(F.struct("members", "component")).alias("major"), F.count("*").alias("parts"))
              .filter("parts > 1").select("token", F.col("major.component").alias("major")))
-    mixed_buckets = settle(labelled.join(major, "token"))
+    mixed_buckets = settle(labelled.drop("weight").join(major, "token"))
     one, other = (mixed_buckets.toDF("token", *[f"{side}_{c}" for c in ("node", "n", "component", "major")]) for side in "ab")
     pairs = (one.filter("a_component != a_major").join(other, "token")
              .filter((F.col("a_component") != F.col("b_component"))
