@@ -35,6 +35,8 @@ from adlode.llm.common import fresh, record_batch, slices, table
 from adlode.session import settle
 
 WIDTH, PERCENT = 5, 75
+#: Members of a bucket that are kept in one array.
+CHUNK = 1024
 #: Documents that a task looks at together, and words whose hashes a worker remembers before it starts anew.
 BATCH, CACHE_WORDS = 4096, 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -254,7 +256,37 @@ def _labelled(prefixes: DataFrame, links: DataFrame | None) -> DataFrame:
         return prefixes.withColumn("component", F.col("node"))
     labels = components(links).toDF("k", "component")
     return (prefixes.join(labels, F.col("node") == F.col("k"), "left")
-            .select("token", "node", "n", "weight", F.coalesce("component", "node").alias("component")))
+            .select("token", "node", "n", "weight", "place", F.coalesce("component", "node").alias("component")))
+
+
+def _cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that share a bucket and can be linked by size and place.
+
+    Taken from the side of the documents outside their bucket's largest component. Buckets meet
+    them as arrays of at most about CHUNK members, and a document's arrays are merged before
+    its pairs are written out, so a pair that shares many tokens is one row.
+    """
+    sizes = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
+    major = (sizes.groupBy("token").agg(F.max(F.struct("members", "component")).alias("major"), F.count("*").alias("parts"),
+                                        F.sum("members").alias("members"))
+             .filter("parts > 1").select("token", F.col("major.component").alias("major"), "members"))
+    buckets = settle(labelled.join(major, "token").withColumn("minor", F.col("component") != F.col("major")))
+    chunks = max(1, -(-(buckets.agg(F.max("members")).first()[0] or 0) // CHUNK))
+    arrays = (buckets.withColumn("chunk", F.pmod(F.xxhash64("node"), F.lit(chunks)))
+              .groupBy("token", "chunk").agg(F.collect_list(F.struct("node", "n", "place", "component", "minor")).alias("others")))
+    ones = buckets.filter("minor").select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "place", "component")])
+
+    def fits(x):
+        common = F.ceil((F.col("a_n") + x["n"]) * percent / (100 + percent))  # shingles that a linked pair has in common
+        return ((x["component"] != F.col("a_component")) & (~x["minor"] | (F.col("a_node") < x["node"]))
+                & (F.least(F.col("a_n"), x["n"]) * 100 >= F.greatest(F.col("a_n"), x["n"]) * percent)
+                & (F.col("a_place") <= F.col("a_n") - common + 1) & (x["place"] <= x["n"] - common + 1))
+
+    met = (ones.join(arrays, "token")
+           .select(F.col("a_node").alias("a"), "chunk", F.transform(F.filter("others", fits), lambda x: x["node"]).alias("others"))
+           .filter(F.size("others") > 0))
+    merged = met.groupBy("a", "chunk").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    return merged.select("a", F.explode("others").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -267,8 +299,9 @@ def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     left = F.greatest(F.lit(0), F.col("n") - need + 1 - (F.col("n") - F.size("line"))).cast("int")
     prefixes = settle(shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("line"))
                       .withColumn("weight", (F.aggregate("line", F.lit(0).cast("long"), lambda s, x: s + x["df"]) * 16 / F.col("n")).cast("long"))
-                      .select("node", "n", "weight", F.explode(F.slice("line", F.lit(1), left)).alias("one"))
-                      .select("one.token", "node", "n", "weight"))
+                      .select("node", "n", "weight", (F.col("n") - F.size("line")).alias("alone"),
+                              F.posexplode(F.slice("line", F.lit(1), left)).alias("at", "one"))
+                      .select("one.token", "node", "n", "weight", (F.col("alone") + F.col("at") + 1).cast("long").alias("place")))
     nodes, links, labelled = sets.count(), None, _labelled(prefixes, None)
     # The first hub is the document whose tokens are the most frequent, the text that copies were made from;
     # where that is missing, later rounds try others.
@@ -291,17 +324,7 @@ def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         if found * 50 <= nodes:
             break
         spread = F.struct(F.xxhash64("node", F.lit(found)).alias("h"), "node", "n", "component")
-    # What is left: all pairs of different components in a bucket, taken from the smaller ones' side.
-    sizes = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
-    major = (sizes.groupBy("token").agg(F.max(F.struct("members", "component")).alias("major"), F.count("*").alias("parts"))
-             .filter("parts > 1").select("token", F.col("major.component").alias("major")))
-    mixed_buckets = settle(labelled.drop("weight").join(major, "token"))
-    one, other = (mixed_buckets.toDF("token", *[f"{side}_{c}" for c in ("node", "n", "component", "major")]) for side in "ab")
-    pairs = (one.filter("a_component != a_major").join(other, "token")
-             .filter((F.col("a_component") != F.col("b_component"))
-                     & ((F.col("b_component") == F.col("b_major")) | (F.col("a_node") < F.col("b_node")))
-                     & (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent))
-             .select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
+    pairs = _cross_pairs(labelled.drop("weight"), percent)
     last = settle(_verified(settle(pairs), sets, percent))
     return last if links is None else links.union(last)
 
