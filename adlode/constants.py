@@ -92,6 +92,7 @@ MAX_ITEMSET = 3
 K_MIN = 3
 K_MAX = 8
 KMEANS_SEED = 42
+KMEANS_MAX_ITER = 300  # steps a fit may take before it is cut off
 FINAL_RESTARTS = 10
 ELBOW_RESTARTS = 5
 PROFILE_SKILLS = 10

@@ -8,19 +8,26 @@ its matching end tag; :func:`elements` finds those in one linear pass per page.
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from adlode.functions.text import clean_text
 
-# The character entities decoded besides numeric ones.
+# Named references decoded besides numeric ones: the Latin-1 letters and signs by Python's own
+# table, and common marks; ``&amp;`` comes last, so that nothing is decoded twice.
 ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'",
-    "&middot;": "·", "&bull;": "•", "&copy;": "©", "&eacute;": "é", "&egrave;": "è",
-    "&agrave;": "à", "&ecirc;": "ê", "&ccedil;": "ç", "&rsquo;": "’", "&ndash;": "–", "&amp;": "&",
+    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
+    "&bull;": "•", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&ndash;": "–", "&mdash;": "—",
+    "&hellip;": "…", "&euro;": "€", "&oelig;": "œ", "&OElig;": "Œ",
+    **{f"&{name};": chr(code) for name, code in sorted(name2codepoint.items()) if 161 <= code <= 255},
+    "&amp;": "&",
 }
 
+# Elements without content: they end with their own tag.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
 # Elements whose end tag may be left out, with the tags that end them.
 _OPEN_ENDED = {
     "p": r"<(?i:p|div|ul|ol|dl|table|form|pre|blockquote|h[1-6])[\s>]"
@@ -63,10 +70,27 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
 
 
+def _numeric(c: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;`` as their characters; numbers beyond Unicode stay as they are."""
+    parts = F.split(c, r"&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)")
+
+    def one(piece: Column) -> Column:
+        number = F.substring_index(piece, ";", 1)
+        hexadecimal = F.lower(F.substring(number, 1, 1)) == "x"
+        code = F.when(hexadecimal, F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).cast("long")
+        known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(known, F.concat(char, F.substr(piece, F.length(number) + 2))).otherwise(F.concat(F.lit("&#"), piece))
+
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
+
+
 def decode(c: Column) -> Column:
+    """Character references as characters: numeric ones and the named ones of Latin-1 and common marks."""
+    decoded = F.when(F.contains(c, F.lit("&#")), _numeric(c)).otherwise(c)
     for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def inner_text(element: Column) -> Column:
@@ -103,6 +127,10 @@ def elements(html: Column, picks: Sequence[Pick], up: str = "") -> Column:
         names = {tag} if tag else {re.match(r"<([a-zA-Z0-9]+)", m.group()).group(1).lower()
                                    for m in opening.finditer(page)}
         for name in names:
+            if name in VOID:
+                for m in re.finditer(rf"<{name}(?=[\s/>])[^>]*>", page, re.I):
+                    yield from matching(page, opening, [(m.start(), m.group())], m.end())
+                continue
             open_tags = []
             for m in re.finditer(rf"<(/?){name}(?=[\s/>])[^>]*>", page, re.I):
                 if not m.group(1):

@@ -48,7 +48,7 @@ def fit_all(points: DataFrame, jobs: Sequence[tuple[int, int]], parallelism: int
     def fit(job: tuple[int, int]) -> KMeansModel:
         k, seed = job
         start = "k-means||" if distinct >= MANY_POINTS * k else "random"
-        return KMeans(k=k, seed=seed, initMode=start, featuresCol="features", weightCol="weight",
+        return KMeans(k=k, seed=seed, initMode=start, maxIter=C.KMEANS_MAX_ITER, featuresCol="features", weightCol="weight",
                       predictionCol="cluster_id").fit(points)
 
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:

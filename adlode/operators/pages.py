@@ -185,7 +185,7 @@ def follow_links(pages: DataFrame, details: DataFrame, harvest: Callable, read:
 # ---- which pages count ------------------------------------------------------------------------
 
 def pages_until_empty(pages: DataFrame, n_cards: str = "n_cards", first: int = 1,
-                      cap: int | None = C.MAX_PAGES) -> DataFrame:
+                      cap: int | None = None) -> DataFrame:
     """Pages before a portal's first page that is empty or, with a cap, missing; at most up to the cap.
 
     The stopping page is one aggregated row per portal, so a portal's size does not matter.
@@ -215,7 +215,7 @@ BASE_URLS = {
 FIRST_PAGE = {"emploi_cm": 0}
 
 
-def portal_listings(portal: str, pages: DataFrame, cap: int | None = C.MAX_PAGES) -> DataFrame:
+def portal_listings(portal: str, pages: DataFrame, cap: int | None = None) -> DataFrame:
     """Listings of one portal from its captured pages.
 
     Pages of links and of single listings share the table; the latter have no ``page_no``.
@@ -240,7 +240,7 @@ def portal_listings(portal: str, pages: DataFrame, cap: int | None = C.MAX_PAGES
 
 
 def all_listings(pages: DataFrame, enabled: Sequence[str] = tuple(BASE_URLS), only: str | None = None,
-                 cap: int | None = C.MAX_PAGES) -> DataFrame:
+                 cap: int | None = None) -> DataFrame:
     """Listings of all enabled portals, or of one."""
     chosen = [p for p in enabled if only is None or p == only]
     return union_sources({p: portal_listings(p, pages, cap) for p in chosen})

@@ -109,6 +109,7 @@ def itemsets_fpgrowth(baskets: DataFrame, min_support: float = C.MIN_SUPPORT,
     FP-growth keeps counts of at least ceil(support * n); passing half a count less
     than the least wanted one keeps rounding from moving that limit.
     """
+    baskets = baskets.filter(F.size("items") > 0)
     n = baskets.count()
     least = least_count(n, min_support)
     model = FPGrowth(itemsCol="items", minSupport=max((least - 0.5) / n, 0.0)).fit(baskets.select("items"))

@@ -83,7 +83,8 @@ def tag_by_join(rows: DataFrame, aliases: DataFrame, id_col: str, text_col: str,
 
     tested = once(lowered, lambda whole: F.filter(
         F.coalesce("_candidates", F.array()), lambda entry: occurs(whole, entry)))
-    tagged = rows.join(candidates, id_col, "left").withColumn("skills", F.transform(tested, lambda e: e["canonical"]))
+    candidates = candidates.withColumnRenamed(id_col, "_candidates_id")
+    tagged = rows.join(candidates, F.col(id_col).eqNullSafe(F.col("_candidates_id")), "left").drop("_candidates_id").withColumn("skills", F.transform(tested, lambda e: e["canonical"]))
     tagged = tagged.drop("_candidates")
     for alias, pattern in guards.items():
         skill = aliases.filter(F.col("alias") == alias).agg(F.max("canonical")).scalar()

@@ -15,9 +15,10 @@ from adlode.sources.tables import read_or_empty, read_table, read_taxonomy, seed
 from pyspark.sql import functions as F
 
 
-def run_ingest(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None) -> int:
-    """Listings of captured pages into the ``jobs`` table; returns the number of new ones."""
-    return append_new(all_listings(pages, only=only), f"{store}/jobs")
+def run_ingest(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None, cap: int | None = None) -> int:
+    """Listings of captured pages, all of them unless ``cap`` limits a portal's pages, into the ``jobs``
+    table; returns the number of new ones."""
+    return append_new(all_listings(pages, only=only, cap=cap), f"{store}/jobs")
 
 
 def run_cleaning(spark: SparkSession, store: str, taxonomy_path: str, exports: str | None = None) -> DataFrame:

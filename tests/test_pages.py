@@ -124,3 +124,21 @@ def test_first_shown_listing_is_kept(spark, tmp_path):
     path = str(tmp_path / "jobs")
     assert append_new(P.all_listings(pages, only="workconnect"), path) == 1
     assert spark.read.parquet(path).first()["description"] == "b"
+
+
+def test_references_and_void_elements(spark):
+    from pyspark.sql import functions as F
+
+    from adlode.functions import html as H
+
+    text = "C&ocirc;te d&#8217;Ivoire &#233;&#xE9; &amp;lt; &#0; &#99999999; &unknown; a&b"
+    got = spark.createDataFrame([(text,), ("",), (None,)], "t string").select(H.decode(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["Côte d’Ivoire éé &lt; &#0; &#99999999; &unknown; a&b", "", None]
+    page = '<div><img class="company-logo" src="x">ACME<p>long description</p></div>'
+    found = spark.createDataFrame([(page,)], "t string").select(H.elements(F.col("t"), [H.Pick("", "class", "company")])).first()[0]
+    assert [r["element"] for r in found] == ['<img class="company-logo" src="x">']
+
+
+def test_more_pages_than_any_cap(spark):
+    pages = spark.createDataFrame([(n, "p", n + 1, 1) for n in range(14)], "page_id long, portal string, page_no int, n_cards int")
+    assert P.pages_until_empty(pages).count() == 14 and P.pages_until_empty(pages, cap=10).count() == 10
