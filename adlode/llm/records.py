@@ -16,7 +16,7 @@ a lost executor leaves nothing but unused files. Files go to the shared folder t
 pyarrow's file systems, which also open remote stores.
 
 Defined results: a NULL or empty text is a sequence of the end id alone; NULL ids sort first;
-rows of equal id follow one another in the order of their token ids; an empty table has no
+rows of equal id follow one another in the order of their texts' checksums; an empty table has no
 files with records and gives no rows.
 """
 
@@ -127,7 +127,12 @@ def _portions(items: list, n: int):
 
 
 def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """doc_id, ids (binary, 32-bit little-endian): every text's ids and the end id."""
+    """doc_id, ids (binary, 32-bit little-endian): every text's ids and the end id, in ascending id order.
+
+    The texts are dealt by ranges and sorted before they are encoded: finding the ranges reads the
+    rows once more, which is cheap for texts and not for ids. Ids that many rows share are dealt by
+    their text's checksum as well, so no range has to hold them all.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
     end = struct.pack("<I", end_id)
 
@@ -137,7 +142,9 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
             ids = encoder([t or "" for t in batch.column(1).to_pylist()])
             yield record_batch(schema, [batch.column(0), [x + end for x in ids]])
 
-    return docs.select(F.col(doc_id).cast("long"), text).mapInArrow(run, "doc_id long, ids binary")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.crc32(F.col("text").cast("binary")).asc_nulls_first()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def masked(data: bytes) -> int:
@@ -171,10 +178,7 @@ def _opened(uri: str):
 
 
 def write(sequences: DataFrame, folder: str) -> DataFrame:
-    """Write (doc_id, ids) in ascending id order under ``folder``; the committed table of its files.
-
-    Ids that many rows share are dealt by their content as well, so no range has to hold them all.
-    """
+    """Write (doc_id, ids), partition by partition in the order given, under ``folder``; the committed table of its files."""
     schema = pa.schema([("part", pa.int32()), ("data", pa.string()), ("offsets", pa.string()),
                         ("n_records", pa.int64()), ("n_ids", pa.int64())])
 
@@ -197,9 +201,7 @@ def write(sequences: DataFrame, folder: str) -> DataFrame:
                 n_ids += int(ids.sum())
         yield record_batch(schema, [[part], *[[name] for name in names], [n_records], [n_ids]])
 
-    content = F.crc32("ids")
-    ranged = sequences.repartitionByRange(F.col("doc_id").asc_nulls_first(), content, F.col("ids"))
-    return settle(ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), content, "ids").mapInArrow(run, FILES))
+    return settle(sequences.mapInArrow(run, FILES))
 
 
 def read(files: DataFrame) -> DataFrame:
