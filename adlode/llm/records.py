@@ -3,10 +3,10 @@
 A data file is a run of records::
 
     length of the payload (8 bytes) | masked checksum of these 8 bytes (4)
-    payload: 1 byte (1: has an id), document id (8), token ids (4 each)
+    payload: 1 byte (1: has an id, 2: ids are wide), document id (8), token ids (2 each, 4 if wide)
     masked checksum of the payload (4)
 
-all little-endian. The checksum is CRC-32, rotated right by 15 bits plus a constant, so that
+all little-endian; a record is wide if one of its ids needs more than 16 bits. The checksum is CRC-32, rotated right by 15 bits plus a constant, so that
 records stored inside records cannot pass for their own frames. The index file of a data file
 holds (offset, number of ids) of every record, 8 bytes each, for reads in any order.
 
@@ -153,13 +153,16 @@ def masked(data: bytes) -> int:
 
 
 def frame(doc_id: int | None, ids: bytes) -> bytes:
-    payload = struct.pack("<Bq", doc_id is not None, doc_id or 0) + ids
+    """The record of ids given as 32-bit numbers."""
+    numbers = np.frombuffer(ids, "<u4")
+    wide = bool(numbers.size) and int(numbers.max()) >= 1 << 16
+    payload = struct.pack("<Bq", (doc_id is not None) | wide << 1, doc_id or 0) + (ids if wide else numbers.astype("<u2").tobytes())
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
 def unframe(stream) -> tuple[int | None, bytes] | None:
-    """The next record of an open file, None at its end."""
+    """The next record of an open file, its ids as 32-bit numbers; None at the file's end."""
     head = stream.read(12)
     if not head:
         return None
@@ -169,8 +172,9 @@ def unframe(stream) -> tuple[int | None, bytes] | None:
     body = stream.read(n + 4)
     if len(body) < n + 4 or struct.unpack("<I", body[n:])[0] != masked(body[:n]):
         raise ValueError("damaged record")
-    known, doc_id = struct.unpack("<Bq", body[:9])
-    return (doc_id if known else None), body[9:n]
+    kind, doc_id = struct.unpack("<Bq", body[:9])
+    ids = body[9:n] if kind & 2 else np.frombuffer(body[9:n], "<u2").astype("<u4").tobytes()
+    return (doc_id if kind & 1 else None), ids
 
 
 def _opened(uri: str):
@@ -190,9 +194,10 @@ def write(sequences: DataFrame, folder: str) -> DataFrame:
         offset = n_records = n_ids = 0
         with files[0][0].open_output_stream(files[0][1]) as data, files[1][0].open_output_stream(files[1][1]) as index:
             for batch in slices(batches, 512):
-                records = [frame(*row) for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                coded = batch.column(1).to_pylist()
+                records = [frame(*row) for row in zip(batch.column(0).to_pylist(), coded)]
                 sizes = np.fromiter(map(len, records), np.int64, len(records))
-                ids = (sizes - 25) // 4
+                ids = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
                 starts = offset + np.cumsum(sizes) - sizes
                 data.write(b"".join(records))
                 index.write(np.column_stack([starts, ids]).astype("<u8").tobytes())

@@ -52,6 +52,11 @@ def test_damaged_records_are_noticed(tmp_path):
     path.write_bytes(records.frame(5, b"\1\0\0\0"))
     with open(path, "rb") as stream:
         assert records.unframe(stream) == (5, b"\1\0\0\0") and records.unframe(stream) is None
+    for numbers in ([], [65535], [1, 65536], [2 ** 32 - 1]):
+        ids = np.array(numbers, "<u4").tobytes()
+        (tmp_path / "two").write_bytes(records.frame(None, ids) + records.frame(-7, ids))
+        with open(tmp_path / "two", "rb") as stream:
+            assert [records.unframe(stream) for _ in range(3)] == [(None, ids), (-7, ids), None]
     path.write_bytes(path.read_bytes()[:-6] + b"\7" + path.read_bytes()[-5:])
     with open(path, "rb") as stream, pytest.raises(ValueError):
         records.unframe(stream)
