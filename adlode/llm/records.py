@@ -25,6 +25,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from functools import lru_cache
 from posixpath import join
 
 import numpy as np
@@ -122,6 +123,12 @@ class Encoder:
         return coded
 
 
+@lru_cache(maxsize=1)
+def encoder_of(definition: str) -> Encoder:
+    """The encoder that a Python worker keeps over its tasks, with the chunks it remembers."""
+    return Encoder(definition)
+
+
 def _portions(items: list, n: int):
     return (items[at: at + n] for at in range(0, len(items), n))
 
@@ -137,7 +144,7 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
     end = struct.pack("<I", end_id)
 
     def run(batches):
-        encoder = Encoder(definition)
+        encoder = encoder_of(definition)
         for batch in slices(batches, 512):
             ids = encoder([t or "" for t in batch.column(1).to_pylist()])
             yield record_batch(schema, [batch.column(0), [x + end for x in ids]])
