@@ -21,6 +21,7 @@ files with records and gives no rows.
 """
 
 import json
+import os
 import struct
 import unicodedata
 import uuid
@@ -67,6 +68,8 @@ class Encoder:
     """
 
     def __init__(self, definition: str):
+        # A task has one core: threads of the library would take the cores of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
