@@ -43,7 +43,7 @@ END_ID = 1
 #: The mask of the checksums, a fixed value of this record format.
 MASK = 0xA282EAD8
 #: Chunks between spaces whose ids one worker remembers before it starts anew, and how long they may be.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 300_000
 CACHE_LENGTH = 64
 #: Marks that the tokenizer takes as one piece of their own when they follow a letter.
 TRAILING = ".,;:!?%$#&*()\""
