@@ -215,16 +215,21 @@ def _set_rows(percent: int, width: int):
     return run
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end is in one edge only, so that all edges lead to the smallest node of their component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(edges.select("b", F.lit(0)))
+    return ends.groupBy("node").agg(F.max("up").alias("up"), F.count("*").alias("edges")).filter("up = 1 AND edges > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node of ``edges`` (a, b).
 
     Alternating large and small stars: every node's larger neighbours move to its smallest one,
-    then its smaller neighbours do, until nothing changes. Each round is two aggregations and
-    joins, and is written to the shared folder.
+    then its smaller neighbours do, until all edges form stars around their smallest node. Each
+    round is two aggregations and joins, and is written to the shared folder.
     """
-    edges, before = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), None
-    edges = settle(edges)
-    while True:
+    edges = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct())
+    while not _are_stars(edges):
         both = edges.select("a", "b").union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("k"), F.least("a", "low").alias("low"))
         large = both.join(least, F.col("a") == F.col("k")).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
@@ -233,10 +238,6 @@ def components(edges: DataFrame) -> DataFrame:
                  .select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
                  .select("e.*").filter("a > b").distinct())
         edges = settle(small)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct())
 
