@@ -2,10 +2,10 @@
 
 ``items`` is an array without duplicates. Equal baskets become one row with a
 weight. Itemsets are then counted level by level, as only sizes up to three are
-wanted: after the first level every basket shrinks to its frequent items, after
-the second only combinations whose pairs are all frequent are counted. Counting is
-a map-side aggregation by itemset, so neither a popular item nor a long basket
-loads a single task.
+wanted, by joins over one row per basket and item: pairs of frequent items, then
+triples whose pairs are all frequent. The pairs of a long basket are found in
+several parts, so no array grows with a basket and no basket loads a single task;
+counts are aggregated map-side by itemset.
 """
 
 from functools import reduce
@@ -19,10 +19,8 @@ from adlode.functions.rounding import round_scaled
 from adlode.session import settle
 
 ITEMSETS = "items array<string>, size int, count bigint, support double"
-# Frequent items up to this number are counted level by level.
-MAX_POPULAR = 4096
-# An itemset of positions is a number to this base; three digits stay exact even as a double.
-BASE = 2 ** 17
+# Items of a basket whose pairs are found in one part.
+PART_ITEMS = 256
 
 
 def basket_items(rows: DataFrame, key: str, item: str) -> DataFrame:
@@ -44,17 +42,17 @@ def distinct_baskets(baskets: DataFrame, column: str = "items") -> DataFrame:
     return settle(sets.groupBy(column).agg(F.count(F.lit(1)).alias("weight"))).filter(F.size(column) > 0)
 
 
-def _weighed(codes: DataFrame, n: int, least: int, size: int) -> DataFrame:
-    counts = codes.groupBy("code").agg(F.sum("weight").alias("count")).filter(F.col("count") >= least)
-    return counts.select("code", F.lit(size).alias("size"), "count", (F.col("count").cast("double") / n).alias("support"))
+def _frequent(rows: DataFrame, names: list[str], n: int, least: int) -> DataFrame:
+    """(*names, items, size, count, support) of the combinations of ``names`` with enough weight, stored."""
+    counts = rows.groupBy(*names).agg(F.sum("weight").alias("count")).filter(F.col("count") >= least)
+    return settle(counts.select(*names, F.array(*names).alias("items"), F.lit(len(names)).alias("size"), "count",
+                                (F.col("count").cast("double") / n).alias("support")))
 
 
 def itemsets(baskets: DataFrame, min_support: float = C.MIN_SUPPORT, max_size: int = C.MAX_ITEMSET) -> DataFrame:
     """(items, size, count, support) of all itemsets up to ``max_size`` (1 to 3) with enough support.
 
-    Like a model fit this runs jobs: one per level. Frequent items number at most
-    (average basket size / min_support); that list is checked, and beyond
-    ``MAX_POPULAR`` FP-growth does the work.
+    Like a model fit this runs jobs: one per level. Empty baskets do not count.
     """
     if not 1 <= max_size <= 3:
         raise ValueError("max_size must be 1, 2 or 3")
@@ -63,48 +61,38 @@ def itemsets(baskets: DataFrame, min_support: float = C.MIN_SUPPORT, max_size: i
     if not n:
         return sets.sparkSession.createDataFrame([], ITEMSETS)
     least = least_count(n, min_support)
-    single = sets.select("weight", F.explode("items").alias("item")).groupBy("item").agg(F.sum("weight").alias("count"))
-    frequent = single.filter(F.col("count") >= least).select("item").limit(MAX_POPULAR + 1)
-    popular = sorted(r["item"] for r in frequent.collect())
-    if len(popular) > MAX_POPULAR:
-        return itemsets_fpgrowth(baskets, min_support, max_size)
-    if not popular:
-        return sets.sparkSession.createDataFrame([], ITEMSETS)
-
-    # from here on an item is its position in the sorted list, an itemset one whole number
-    names = F.array(*map(F.lit, popular))
-    numbered = sets.select("weight", F.array_sort(F.transform(
-        F.array_intersect("items", names), lambda x: F.array_position(names, x))).alias("items"))
-    levels = [_weighed(numbered.select("weight", F.explode("items").alias("code")), n, least, 1)]
+    single = _frequent(sets.select("weight", F.explode("items").alias("a")), ["a"], n, least)
+    levels = [single]
 
-    numbered = numbered.filter(F.size("items") > 1)
-    pairs = F.flatten(F.transform("items", lambda a, i: F.transform(
-        F.slice("items", i + 2, F.size("items")), lambda b: a * BASE + b)))
     if max_size >= 2:
-        level2 = settle(_weighed(numbered.select("weight", F.explode(pairs).alias("code")), n, least, 2))
+        # numbered before its items become rows
+        numbered = sets.withColumn("basket", F.monotonically_increasing_id())
+        rows = numbered.select("basket", "weight", F.ceil(F.size("items") / PART_ITEMS).cast("int").alias("parts"),
+                               F.explode("items").alias("a"))
+        rows = settle(rows.join(single.select("a"), "a", "left_semi"))
+        # an item is in one part of its basket and meets all later items there
+        part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+        first = rows.select("basket", "weight", part.alias("part"), "a")
+        second = rows.select("basket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"))
+        pairs = first.join(second, ["basket", "part"]).filter("a < b").select("basket", "weight", "a", "b")
+        level2 = _frequent(pairs, ["a", "b"], n, least)
         levels.append(level2)
 
     if max_size >= 3:
-        # a basket's frequent pairs, each extended by a later item it also forms frequent pairs with
-        known = level2.agg(F.collect_set("code")).scalar()
-        linked = numbered.filter(F.size("items") > 2).select("weight", F.array_intersect(pairs, known).alias("pairs"))
-        triples = F.flatten(F.transform("pairs", lambda p: F.transform(
-            F.filter("pairs", lambda q: (q > p) & (F.floor(q / BASE) == F.floor(p / BASE))
-                     & F.array_contains(F.col("pairs"), F.pmod(p, F.lit(BASE)) * BASE + F.pmod(q, F.lit(BASE)))),
-            lambda q: p * BASE + F.pmod(q, F.lit(BASE)))))
-        codes = linked.filter(F.size("pairs") > 2).select("weight", F.explode(triples).alias("code"))
-        levels.append(_weighed(codes, n, least, 3))
-
-    found = reduce(DataFrame.unionByName, levels)
-    digits = F.filter(
-        F.array(*[F.pmod(F.floor(F.col("code") / BASE ** power), F.lit(BASE)) for power in (2, 1, 0)]), lambda d: d > 0)
-    items = F.transform(digits, lambda d: F.element_at(names, d.cast("int")))
-    return settle(found.select(items.alias("items"), "size", "count", "support"))
+        # a basket's frequent pairs that share their first item make a triple where the third pair is frequent too
+        known = level2.select("a", "b")
+        linked = settle(pairs.join(known, ["a", "b"], "left_semi"))
+        others = linked.select("basket", "a", F.col("b").alias("c"))
+        triples = (linked.join(others, ["basket", "a"]).filter("b < c")
+                   .join(known.toDF("b", "c"), ["b", "c"], "left_semi"))
+        levels.append(_frequent(triples, ["a", "b", "c"], n, least))
+
+    return reduce(DataFrame.unionByName, [level.select("items", "size", "count", "support") for level in levels])
 
 
 def itemsets_fpgrowth(baskets: DataFrame, min_support: float = C.MIN_SUPPORT,
                       max_size: int = C.MAX_ITEMSET) -> DataFrame:
-    """The same table from MLlib's FP-growth, for baskets with very many frequent items.
+    """The same table from MLlib's FP-growth, as another way to the same result.
 
     FP-growth keeps counts of at least ceil(support * n); passing half a count less
     than the least wanted one keeps rounding from moving that limit.

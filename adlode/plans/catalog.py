@@ -620,7 +620,7 @@ sets AS (
   UNION ALL
   SELECT [a.skill, b.skill, c.skill], 3, count(*) FROM {items} a JOIN {items} b ON a.id = b.id AND a.skill < b.skill
   JOIN {items} c ON a.id = c.id AND b.skill < c.skill GROUP BY 1),
-itemsets AS (
+itemsets AS MATERIALIZED (
   SELECT items, size, count, CAST(count AS DOUBLE) / CAST(n AS DOUBLE) AS support FROM sets, n
   WHERE CAST(count AS DOUBLE) / CAST(n AS DOUBLE) >= CAST({C.MIN_SUPPORT} AS DOUBLE))"""
 

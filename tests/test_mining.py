@@ -54,13 +54,26 @@ def test_fpgrowth_gives_the_same(spark):
     assert want == {tuple(r["items"]): (r["count"], r["support"]) for r in R.itemsets_fpgrowth(rows, 0.07).collect()}
 
 
-def test_too_many_frequent_items_go_to_fpgrowth(spark, monkeypatch):
-    rows = frame(spark, [list("ABC"), list("AB"), list("C")])
+def test_empty_baskets_count_on_no_path(spark):
+    rows = frame(spark, [list("ABC"), list("AB"), list("C"), [], [], []])
+    want = {("A",): 2, ("B",): 2, ("C",): 2, ("A", "B"): 2}
+    for found in (R.itemsets(rows, 0.5), R.itemsets_fpgrowth(rows, 0.5)):
+        assert {tuple(r["items"]): r["count"] for r in found.collect()} == want
+        assert {r["support"] for r in found.collect()} == {2 / 3}
+
+
+def test_parts_of_long_baskets_give_the_same(spark, monkeypatch):
+    rows = frame(spark, [list("ABCDEFG"), list("ABDG"), list("CEG")])
     want = {tuple(r["items"]): r["count"] for r in R.itemsets(rows, 0.3).collect()}
-    monkeypatch.setattr(R, "MAX_POPULAR", 2)
+    monkeypatch.setattr(R, "PART_ITEMS", 2)
     assert want == {tuple(r["items"]): r["count"] for r in R.itemsets(rows, 0.3).collect()}
 
 
+def test_long_basket(spark):
+    found = R.itemsets(frame(spark, [[f"i{k}" for k in range(200)]]), 0.5)
+    assert {r["size"]: r["count"] for r in found.groupBy("size").count().collect()} == {1: 200, 2: 19900, 3: 1313400}
+
+
 def test_empty_and_sizes(spark):
     assert R.itemsets(frame(spark, [[], []])).count() == 0
     assert R.association_rules(R.itemsets(frame(spark, [[]]))).count() == 0
