@@ -32,11 +32,13 @@ from adlode.session import settle
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Documents a group needs for an estimate of its own.
 MIN_GROUP = 40
-#: Least standard deviations of the transformed statistics, in the order of FEATURES.
+#: Least standard deviations of the transformed statistics, in the order of FEATURES: what the shortest document that
+#: passes the base rules can tell apart. Word length: its sampling error, words' lengths varying by about a half of their
+#: mean. The others: one symbol, one repeated line, the least repetition (four equal words).
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.12, 0.08, 0.12, 0.12)
-#: Rejected beyond this squared distance: the chi-square quantile of 4 degrees at 1 - 1e-9.
-LIMIT = 47.9
+FLOORS = (0.5 / math.sqrt(MIN_WORDS), math.log1p(1 / MIN_WORDS), 1 / 21, 4 / MIN_WORDS)
+#: Rejected beyond this squared distance: the chi-square quantile of 4 degrees at 0.999.
+LIMIT = 18.467
 STEPS = 4
 #: Share of a group that an estimate keeps, and median of chi-square with 4 degrees (a fixed value).
 HALF, CHI_MEDIAN = 0.5, 3.357

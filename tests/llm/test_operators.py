@@ -144,6 +144,16 @@ def test_outliers_go_and_ordinary_documents_stay(spark):
     assert outliers.keep(docs.limit(0)).count() == 0
 
 
+def test_menus_and_link_lists_are_outliers(spark):
+    rng = np.random.default_rng(4)
+    word = lambda: "w" * int(rng.integers(1, 9))
+    rows = [(i, " ".join(f"{word()}{rng.integers(100)}" for _ in range(50 + i)), "en", "s") for i in range(120)]
+    rows += [(200 + i, " | ".join(f"{word()}{rng.integers(100)}" for _ in range(40 + i)), "en", "s") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = outliers.judge(docs).collect()
+    assert not any(r.base_failed for r in judged) and {r.doc_id for r in judged if r.kept} == set(range(120))
+
+
 def test_language_of_held_out_rows(spark):
     truth = {r.doc_id: r.lang for r in table(spark, SMALL, "documents").select("doc_id", "lang").collect()}
     rows = [r for r in langid.query(spark, SMALL).collect() if r.held_out]
