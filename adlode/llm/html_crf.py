@@ -36,6 +36,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 #: Elements that hold controls or drawings; text inside them is left out.
 SILENT = frozenset("select button svg math canvas object audio video datalist head".split())
+#: Elements that leave an open head open; any other one ends it, as text does, for its end tag may be left out.
+IN_HEAD = frozenset("base head link meta noframes".split())
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
                    "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td "
                    "tfoot th thead tr ul").split())
@@ -89,8 +91,14 @@ def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
             silent -= tag in SILENT
         del stack[n:]
 
+    def end_head():
+        if silent:
+            close(next((n for n, (tag, _) in enumerate(stack) if tag == "head"), len(stack)))
+
     def add(text: str):
         nonlocal linked
+        if silent and stack[-1][0] == "head" and text.strip():
+            end_head()
         if text and not silent:
             parts.append(text)
             if links:
@@ -115,6 +123,8 @@ def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag == "br":
             add(" ")
         if tag in BLOCK:

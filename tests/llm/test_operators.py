@@ -176,6 +176,14 @@ def test_toxicity_learns_words_and_their_beginnings():
     assert network.score(long + " vequ5") > network.score(long)
 
 
+def test_a_head_without_end_tag_ends_where_the_body_begins():
+    for start in ("<body>", "", "<BODY class='x'>", "<link href='y'><body>"):
+        page = f"<html><head><title>T</title><meta charset='utf-8'>\n{start}<p>One.<div>Two <svg><text>no</text></svg></div><p>Three."
+        assert [text for text, _, _ in html_crf.blocks(page)] == ["One.", "Two", "Three."]
+    assert [text for text, _, _ in html_crf.blocks("<head><title>T</title>\n Bare <b>text</b> &amp; more")] == ["Bare text & more"]
+    assert [text for text, _, _ in html_crf.blocks("<head><meta x><noframes>old</noframes></head><p>One.")] == ["One."]
+
+
 def test_article_text_of_a_page(spark):
     field = html_crf.learn(table(spark, SMALL, "pages").select("page_id", "html"))
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/'>Home</a></ul></nav>"
@@ -185,6 +193,8 @@ def test_article_text_of_a_page(spark):
             "<section id='comments'><p>I do not agree with any of this, said a reader.</p></section><footer>&copy; site</footer>")
     assert field.text(page) == ("A été title\nThe first paragraph of the article here, long enough to count.\n"
                                 "The second one, with a link and more words than that.")
+    for page_without in (page.replace("</head>", ""), page.replace("</head><body>", "")):
+        assert field.text(page_without) == field.text(page)
     rows = html_crf.extract(spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "<p", "z")], "page_id long, html string, text string"),
                             field).collect()
     assert [(r.text, r.n_chars) for r in rows] == [("", 0)] * 3
