@@ -39,6 +39,8 @@ WIDTH, PERCENT = 5, 75
 CHUNK = 1024
 #: Documents that a task looks at together, and words whose hashes a worker remembers before it starts anew.
 BATCH, CACHE_WORDS = 4096, 500_000
+#: Sampled shingles that a bucket holds, about and at most; each travels with its owner in 16 bytes. Buckets follow from it.
+SHINGLES = 4_000_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -187,9 +189,19 @@ def _summed(rows: pa.Table) -> pa.Table:
                                 schema=schema)
 
 
-def profiles(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -> DataFrame:
+def _buckets(docs: DataFrame, text: str, shingles: int) -> int:
+    """Buckets of tokens, and blocks of documents, whose size does not follow the table's.
+
+    A word and its space have two bytes at least and half of the shingles are sampled; a document has one entry besides.
+    """
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-((size.bytes or 0) + 5 * size.n) // (4 * shingles)))
+
+
+def profiles(docs: DataFrame, doc_id: str, text: str, percent: int, width: int, per_bucket: int = SHINGLES) -> DataFrame:
     """doc_id, copies, n, need, hi, lo, cnt: one row per id and set; hi and lo identify the set."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(docs, text, per_bucket)
     sampled = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text))
                .mapInArrow(_sampled(buckets, percent, width), f"bucket int, block int, tokens array<long>, owners array<long>, {ARRAYS}"))
     counted = sampled.groupBy("bucket").applyInArrow(_counted(buckets), f"block int, {ARRAYS}")

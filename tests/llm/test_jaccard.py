@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlode.llm import jaccard
 from adlode.llm.common import WORD, table
@@ -85,3 +86,17 @@ def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19]
     labels = jaccard.components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.component for r in labels.collect()} == {i: i // 20 * 20 for i in range(60)}
+
+
+def test_buckets_follow_the_size_of_the_input(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    largest = []
+    for copies in (1, 4):
+        many = docs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).select(
+            (F.col("doc_id") * 10 + F.col("copy")).alias("doc_id"), F.expr("replace(text, ' ', concat('x', copy, ' '))").alias("text"))
+        buckets = jaccard._buckets(many, "text", 1000)
+        sampled = many.mapInArrow(jaccard._sampled(buckets, 75, 5), f"bucket int, block int, tokens array<long>, owners array<long>, {jaccard.ARRAYS}")
+        largest.append(sampled.groupBy("bucket").agg(F.sum(F.coalesce(F.size("tokens"), F.lit(0))).alias("n")).agg(F.max("n")).first()[0])
+    assert max(largest) <= 1000
+    rows = [sorted(map(tuple, jaccard.profiles(docs, "doc_id", "text", 75, 5, **size).collect())) for size in ({}, {"per_bucket": 1000})]
+    assert rows[0] == rows[1] and len(rows[0]) == docs.distinct().count()
