@@ -154,6 +154,13 @@ def test_menus_and_link_lists_are_outliers(spark):
     assert not any(r.base_failed for r in judged) and {r.doc_id for r in judged if r.kept} == set(range(120))
 
 
+def test_the_outlier_query_agrees_with_the_quality_labels(spark):
+    folder = SMALL.replace("sf0.001", "sf0.01")
+    judged = outliers.query(spark, folder).join(table(spark, folder, "labels"), "doc_id").collect()
+    assert not [r.doc_id for r in judged if r.quality == 0 and r.kept]
+    assert not [r.doc_id for r in judged if r.quality == 1 and not r.kept and not r.base_failed]
+
+
 def test_language_of_held_out_rows(spark):
     truth = {r.doc_id: r.lang for r in table(spark, SMALL, "documents").select("doc_id", "lang").collect()}
     rows = [r for r in langid.query(spark, SMALL).collect() if r.held_out]
