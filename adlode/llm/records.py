@@ -22,6 +22,7 @@ files with records and gives no rows.
 
 import json
 import os
+import re
 import struct
 import unicodedata
 import uuid
@@ -42,11 +43,11 @@ from adlode.session import scratch_path, settle
 END_ID = 1
 #: The mask of the checksums, a fixed value of this record format.
 MASK = 0xA282EAD8
-#: Chunks between spaces whose ids one worker remembers before it starts anew, and how long they may be.
-CACHE_CHUNKS = 300_000
+#: Chunks whose ids one worker remembers before it begins a new generation (the last one is kept), and how long they may be.
+CACHE_CHUNKS = 200_000
 CACHE_LENGTH = 64
-#: Marks that the tokenizer takes as one piece of their own when they follow a letter.
-TRAILING = ".,;:!?%$#&*()\""
+#: Marks that are cut off words where a space follows, and those that the tokenizer takes as one piece when they end a chunk.
+MARKS, TRAILING = ".,;:!?", ".,;:!?%$#&*()\""
 FILES = "part int, data string, offsets string, n_records long, n_ids long"
 
 
@@ -58,19 +59,36 @@ def vocabulary(name: str) -> str:
         return file.read()
 
 
+def plain_characters() -> str:
+    """The inside of a character class: letters and numbers of the basic plane that every version of
+    Unicode since 3.2 knows as such and that the tokenizer's normalisation leaves letters and numbers."""
+    def plain(c: str) -> bool:
+        return all(old.category(x)[0] in "LN" for x in (c, *unicodedata.normalize("NFC", c).lower()))
+
+    old, ranges = unicodedata.ucd_3_2_0, []
+    for n in filter(lambda n: plain(chr(n)), range(1 << 16)):
+        if ranges and ranges[-1][1] == n - 1:
+            ranges[-1][1] = n
+        else:
+            ranges.append([n, n])
+    return "".join(f"\\u{first:04x}-\\u{last:04x}" for first, last in ranges)
+
+
 class Encoder:
     """Token ids of texts as 32-bit little-endian bytes.
 
     The tokenizer drops white space and never joins what stands on two sides of it, so a text's
-    ids are those of its chunks between spaces and line ends; frequent chunks are remembered.
-    Unknown words (letters, maybe with marks behind them) are encoded together, with spaces
-    between them, and told apart by the tokens that end a word.
+    ids are those of its chunks between spaces and line ends; frequent chunks are remembered. It
+    also takes a mark between a letter and a space as a piece of its own, so lines without marks
+    beside other signs are cut there too. Unknown words of letters alone are encoded
+    together, with spaces between them, and told apart by the tokens that end a word.
     """
 
     def __init__(self, definition: str):
         # A task has one core: threads of the library would take the cores of other tasks.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
@@ -79,7 +97,16 @@ class Encoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[n for token, n in vocab.items() if suffix and token.endswith(suffix)]] = True
-        self.known = {"": b""}
+        #: How the tokenizer prepares texts, and what is enough for normalised words with spaces between them.
+        self.for_texts = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.for_words = None, Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        plain = plain_characters()
+        self.plain = re.compile(f"[{plain}]+")
+        self.crowded = re.compile(rf"[{MARKS}](?:(?=[^{plain} \n])|(?<=[^{plain} \n][{MARKS}]))")
+        self.known, self.older = {"": b""}, {}
+
+    def prepare(self, steps: tuple) -> None:
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = steps
 
     def one_by_one(self, chunks: list[str]) -> None:
         for some in _portions(chunks, 4096):
@@ -87,36 +114,63 @@ class Encoder:
                 self.known[chunk] = np.array(coded.ids, "<u4").tobytes()
 
     def together(self, words: list[str]) -> None:
-        """Each of these words is letters alone, mostly one word to the tokenizer too; if any is not, the
-        number of word ends differs and they are encoded one by one."""
-        for some in _portions(words, 4096):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
-                self.known.update(zip(some, [raw[a:b] for a, b in zip(edges, edges[1:])]))
-            else:
-                self.one_by_one(some)
+        """Each of these words is letters alone and one word to the tokenizer; were it not, the number of
+        word ends would differ and they are encoded one by one."""
+        normal = unicodedata.normalize("NFC", " ".join(words)).lower().split(" ")
+        refused = []
+        self.prepare(self.for_words)
+        for many in _portions(list(zip(_portions(words, 64), _portions(normal, 64))), 64):
+            for (some, _), coded in zip(many, self.tokenizer.encode_batch_fast([" ".join(n) for _, n in many], add_special_tokens=False)):
+                ids = np.array(coded.ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(some) and ends[-1] == len(ids):
+                    raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+                    self.known.update(zip(some, [raw[a:b] for a, b in zip(edges, edges[1:])]))
+                else:
+                    refused += some
+        self.prepare(self.for_texts)
+        self.one_by_one(refused)
+
+    def letters(self, chunk: str) -> bool:
+        # A sigma's small letter depends on its place for Python, not for the tokenizer.
+        return chunk.isalpha() and (chunk.isascii() or "Σ" not in chunk and self.plain.fullmatch(chunk) is not None)
 
     def learn(self, chunks: set[str]) -> None:
-        known, pairs, words, others = self.known, [], set(), set()
-        for chunk in chunks:
-            word = chunk.rstrip(TRAILING)
-            if word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()):
-                pairs.append((chunk, word, chunk[len(word):]))
-                words.add(word)
-                others.add(chunk[len(word):])
+        """Chunks that an earlier generation knows move to the present one, the others are encoded."""
+        known, older = self.known, self.older
+        kept = chunks.intersection(older)
+        known.update(zip(kept, map(older.__getitem__, kept)))
+        words, others, marked = [], set(), []
+        for chunk in chunks.difference(kept):
+            if self.letters(chunk):
+                words.append(chunk)
+            elif self.letters(word := chunk.rstrip(TRAILING)):
+                marked.append((chunk, word, chunk[len(word):]))
             else:
                 others.add(chunk)
-        self.together([w for w in words if w not in known])
-        self.one_by_one([c for c in others if c not in known])
-        for chunk, word, rest in pairs:
+        for _, word, rest in marked:
+            if word not in known and word not in chunks:
+                words.append(word)
+            others.add(rest)
+        self.together(words)
+        self.one_by_one([chunk for chunk in others if chunk not in known])
+        for chunk, word, rest in marked:
             known[chunk] = known[word] + known[rest]
 
+    def chunks(self, text: str) -> list[str]:
+        if self.crowded.search(text):
+            if "\n" in text:
+                return [chunk for line in text.split("\n") for chunk in self.chunks(line)]
+            return text.split(" ")
+        text = text.replace("\n", " ")
+        for mark in MARKS:
+            text = text.replace(f"{mark} ", f" {mark} ")
+        return text.split(" ")
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = list(map(self.chunks, texts))
         if len(self.known) > CACHE_CHUNKS:
-            self.known = {"": b""}
+            self.known, self.older = {"": b""}, self.known
         wanted = set().union(*split).difference(self.known)
         self.learn(wanted)
         coded = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
