@@ -1,7 +1,7 @@
 """The registered queries of this package and their SQL."""
 
 import corpus_pipeline
-from adlode.llm import bpe, chat, html_crf, importance, jaccard, langid, mixing, outliers, records, topk, toxicity
+from adlode.llm import bpe, chat, html_crf, importance, jaccard, langid, mixing, outliers, records, topk, toxicity, whitening
 
 QUERIES = {
     "op1_html_article": html_crf.query,
@@ -14,8 +14,10 @@ QUERIES = {
     "op8_jaccard_groups": jaccard.query,
     "op9_forced_boundary_bpe": bpe.query,
     "op10_exact_topk": topk.query,
+    "op11_whitening": whitening.query,
     "op12_importance_resample": importance.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op2_mix_sources": mixing.SQL, "op7_chat_format": chat.SQL, "op10_exact_topk": topk.SQL,
-           "op12_importance_resample": importance.SQL}
+           "op11_whitening": whitening.query,
+    "op12_importance_resample": importance.SQL}
