@@ -1,7 +1,7 @@
 """The registered queries of this package and their SQL."""
 
 import corpus_pipeline
-from adlode.llm import bpe, chat, html_crf, importance, jaccard, langid, mixing, outliers, records, topk, toxicity, whitening
+from adlode.llm import bpe, chat, html_crf, importance, jaccard, langid, mixing, outliers, packing, records, topk, toxicity, whitening
 
 QUERIES = {
     "op1_html_article": html_crf.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_exact_topk": topk.query,
     "op11_whitening": whitening.query,
     "op12_importance_resample": importance.query,
+    "op13_nnls_packing": packing.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op2_mix_sources": mixing.SQL, "op7_chat_format": chat.SQL, "op10_exact_topk": topk.SQL,
