@@ -23,7 +23,9 @@ import itertools
 import json
 import os
 import re
+import unicodedata
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,136 +34,79 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from adlode.llm.bpe import byte_letters
 from adlode.llm.common import slices, table
-from adlode.llm.records import plain_characters, vocabulary
+from adlode.llm.records import vocabulary
 from adlode.session import settle
 
 WINDOW, UNIT, DEPTH, END_ID = 2048, 16, 4, 1
-#: Chunks whose ids one worker remembers before it begins a new generation, and how long they may be.
-CACHE_CHUNKS, CACHE_LENGTH = 200_000, 64
-MARKS, TRAILING = ".,;:!?", ".,;:!?%$#&*()\""
-#: Signs that stand for the start of a mark and of a line in the keys of chunks; texts that hold them are encoded whole.
-MARK, LINE = "\x01", "\x02"
-#: White space other than space and line end, and the two signs.
-STRANGE = re.compile("[\x01\x02\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: The pre-tokenizer's pattern, a fixed value of the vocabulary's format.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Units of the rows that count windows, and of remainders of no ids.
 WINDOWS, NONE = -2, -1
 
 
+def settled_characters() -> str:
+    """The inside of a character class: what is a letter, a number, white space or none of them in Unicode 3.2
+    and still is so today, up to the last plane that holds letters."""
+    def kind(known, c: str) -> str:
+        first = known.category(c)[0]
+        return first if first in "LN" else "Z" if c.isspace() else ""
+
+    ranges: list[list[int]] = []
+    for n in range(0x30000):
+        if not 0xD800 <= n < 0xE000 and kind(unicodedata.ucd_3_2_0, chr(n)) == kind(unicodedata, chr(n)):
+            if ranges and ranges[-1][1] == n - 1:
+                ranges[-1][1] = n
+            else:
+                ranges.append([n, n])
+    return "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in ranges)
+
+
 class ByteLevelEncoder:
-    """Ids of texts under a byte-level vocabulary as packed numbers.
+    """Ids of texts under a byte-level vocabulary, as packed numbers.
 
-    The pre-tokenizer cuts before a single space between other signs, around a line end between
-    other signs and, with no other sign beside it, before a mark. Texts whose white space is all
-    of these kinds fall into chunks, which are remembered; others go to the tokenizer whole. New
-    chunks of a space and letters are encoded many at a time, and told apart by the tokens that
-    start with a space.
+    The ids are those of the tokenizers library. Another public library applies the same merges,
+    given as ranks, several times faster, but classes characters by another version of Unicode; it
+    gets the texts whose characters all versions class alike, if they hold no special tokens. The others
+    go to the tokenizers library itself.
     """
 
     def __init__(self, definition: str):
         # A task has one core: threads of the library would take the cores of other tasks.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.kind = id_kind(max(vocab.values()))
-        self.starts = np.zeros(max(vocab.values()) + 1, bool)
-        self.starts[[n for token, n in vocab.items() if token.startswith("Ġ")]] = True
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.for_texts = self.tokenizer.pre_tokenizer
-        self.for_words = Sequence([Split(" ", "merged_with_next"), ByteLevel(add_prefix_space=False, use_regex=False)])
-        plain = plain_characters()
-        self.plain = re.compile(f"[{plain}]+")
-        self.crowded = re.compile(rf"[{MARKS}](?:(?=[^{plain} \n])|(?<=[^{plain}][{MARKS}]))")
-        self.known, self.older = {"": b""}, {}
-        self.line = self.whole(["\n"])[0]
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(coded.ids, self.kind).tobytes() for coded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def together(self, words: list[str]) -> None:
-        """Words of letters alone, each behind a space."""
-        refused, width = [], int(self.kind[-1])
-        self.tokenizer.pre_tokenizer = self.for_words
-        for at in range(0, len(words), 4096):
-            groups = [words[i: i + 64] for i in range(at, min(at + 4096, len(words)), 64)]
-            for some, raw in zip(groups, self.whole([" " + " ".join(group) for group in groups])):
-                starts = np.flatnonzero(self.starts[np.frombuffer(raw, self.kind)])
-                if len(starts) == len(some) and starts[0] == 0:
-                    edges = [*(width * starts).tolist(), len(raw)]
-                    self.known.update(zip(some, [raw[a:b] for a, b in zip(edges, edges[1:])]))
-                else:
-                    refused += some
-        self.tokenizer.pre_tokenizer = self.for_texts
-        self.one_by_one(refused)
-
-    def one_by_one(self, keys: list[str]) -> None:
-        text = lambda key: key[1:] if key[0] == MARK else "\n" + key[1:] if key[0] == LINE else " " + key
-        for at in range(0, len(keys), 1024):
-            some = keys[at: at + 1024]
-            self.known.update(zip(some, self.whole(list(map(text, some)))))
-
-    def letters(self, chunk: str) -> bool:
-        return chunk.isalpha() and (chunk.isascii() or self.plain.fullmatch(chunk) is not None)
-
-    def learn(self, chunks: set[str]) -> None:
-        known, older = self.known, self.older
-        kept = chunks.intersection(older)
-        known.update(zip(kept, map(older.__getitem__, kept)))
-        words, others, marked = [], set(), []
-        for chunk in chunks.difference(kept):
-            word = chunk.rstrip(TRAILING)
-            if word == chunk and self.letters(chunk):
-                words.append(chunk)
-            elif word != chunk and self.letters(word[1:] if word[:1] == LINE else word):
-                marked.append((chunk, word, MARK + chunk[len(word):]))
-            else:
-                others.add(chunk)
-        for _, word, rest in marked:
-            if word not in known and word not in chunks:
-                others.add(word) if word[0] == LINE else words.append(word)
-            others.add(rest)
-        self.together(words)
-        self.one_by_one([chunk for chunk in others if chunk not in known])
-        for chunk, word, rest in marked:
-            known[chunk] = known[word] + known[rest]
-
-    def regular(self, text: str) -> bool:
-        return not (" \n" in text or "  " in text or "\n " in text or "\n\n\n" in text or text[0] == "\n" or text[-1] in " \n"
-                    or STRANGE.search(text) or any(token in text for token in self.special))
-
-    def chunks(self, text: str) -> list[str]:
-        """Keys of a regular text's chunks; the first starts with a line end that the text has not."""
-        if self.crowded.search(text):
-            if "\n" in text:
-                return [chunk for line in text.split("\n") for chunk in self.chunks(line)]
-        else:
-            for mark in MARKS:
-                text = text.replace(f"{mark} ", f" {MARK}{mark} ")
-        return (LINE + text.replace("\n", f" {LINE}")).split(" ")
+        spec, letters = json.loads(definition), byte_letters()
+        special = {token["content"]: token["id"] for token in spec["added_tokens"]}
+        vocab = {token: n for token, n in spec["model"]["vocab"].items() if token not in special}
+        ranks = {bytes(letters[c] for c in token): n for token, n in vocab.items()}
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+        if merged != sorted(merged) or len(vocab) != 256 + len(merged):
+            raise ValueError("the ids of this vocabulary do not rank its merges")
+        self.fast = tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.kind = id_kind(max([*vocab.values(), *special.values()]))
+        self.special = list(special)
+        self.unsettled = re.compile(f"[^{settled_characters()}]")
+
+    def odd(self, text: str) -> bool:
+        return self.unsettled.search(text) is not None or any(token in text for token in self.special)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        coded: list[bytes] = [b""] * len(texts)
-        regular = [i for i, text in enumerate(texts) if text and self.regular(text)]
-        odd = [i for i in set(range(len(texts))).difference(regular) if texts[i]]
-        for i, raw in zip(odd, self.whole([texts[i] for i in odd])):
-            coded[i] = raw
-        split = [self.chunks(texts[i]) for i in regular]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known, self.older = {"": b""}, self.known
-        wanted = set().union(*split).difference(self.known)
-        self.learn(wanted)
-        skip = len(self.line)
-        for i, chunks in zip(regular, split):
-            coded[i] = b"".join(map(self.known.__getitem__, chunks))[skip:]
-        for chunk in wanted:
-            if len(chunk) > CACHE_LENGTH:
-                del self.known[chunk]
-        return coded
+        odd = [i for i, text in enumerate(texts) if self.odd(text)]
+        coded = dict(zip(odd, (e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False))))
+        return [np.array(coded[i] if i in coded else self.fast.encode_ordinary(text), self.kind).tobytes()
+                for i, text in enumerate(texts)]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(definition: str) -> ByteLevelEncoder:
+    """The encoder that a Python worker keeps over its tasks."""
+    return ByteLevelEncoder(definition)
 
 
 def id_kind(largest: int) -> str:
@@ -179,7 +124,7 @@ def with_ids(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str
         schema = schema.add(name, "long")
 
     def run(batches):
-        encoder = ByteLevelEncoder(definition)
+        encoder = encoder_of(definition)
         end, width = np.array([end_id], encoder.kind).tobytes(), int(encoder.kind[-1])
         place = windows = 0
         seen: dict[int, int] = {}
@@ -329,15 +274,14 @@ def seated(coded: DataFrame, offsets: DataFrame, plan: Plan, kind: str, window:
         width = int(kind[-1])
         for batch in slices(batches, 256):
             rows, take = [], []
-            for i, (raw, n, part, place, windows, unit, number, before) in enumerate(zip(*[c.to_pylist() for c in batch.columns[1:]])):
-                before = dict(before)
+            for i, (raw, n, part, place, windows, unit, number) in enumerate(zip(*[c.to_pylist() for c in batch.columns[1:]])):
                 whole = n // window
                 for k in range(whole):
-                    rows.append((k * window, window, _crc(raw, kind, k * window, window), n, before[WINDOWS] + windows + k, 0,
+                    rows.append((k * window, window, _crc(raw, kind, k * window, window), n, windows + k, 0,
                                  WINDOW_PIECE, 0, part, place, None))
                 if unit != NONE:
                     at, length = whole * window, n % window
-                    seat = plan.seat(unit, before[unit] + number)
+                    seat = plan.seat(unit, number)
                     if seat is None:
                         rows.append((at, length, None, n, None, None, REST, 0, part, place, raw[at * width:]))
                     elif seat[2]:
@@ -348,7 +292,10 @@ def seated(coded: DataFrame, offsets: DataFrame, plan: Plan, kind: str, window:
             if rows:
                 yield _typed(batch.column(0), take, list(zip(*rows)), schema)
 
-    joined = coded.join(offsets, "part").select("doc_id", "ids", "n_ids", "part", "place", "windows_before", "unit", "unit_before", "before")
+    before = lambda key: F.element_at("before", key)
+    joined = coded.join(offsets, "part").select(
+        "doc_id", "ids", "n_ids", "part", "place", F.col("windows_before") + before(F.lit(WINDOWS).cast("long")), "unit",
+        F.col("unit_before") + before(F.col("unit")))
     return joined.mapInArrow(run, schema)
 
 
