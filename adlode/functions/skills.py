@@ -2,30 +2,27 @@
 
 Aliases longer than ``SHORT_ALIAS`` characters match anywhere; shorter ones only
 where neither neighbour belongs to a word; guarded ones count when their context
-pattern occurs. Two engines give the same result:
+pattern occurs. Everything is a Spark expression. Two ways give the same result:
 
-* ``builtin``   - Spark expressions, one substring test per alias;
-* ``automaton`` - one pass over the text for all aliases at once, in Arrow batches.
-
-The first keeps the work in the JVM, the second is much faster for many aliases.
+* ``direct``     - one substring test per alias;
+* ``dictionary`` - the distinct words of a text are looked up: whole ones among the aliases that
+  are words, and their short grams among the grams that aliases are filed under. Only the aliases
+  found so are tested, so the cost follows the text and not the taxonomy.
 """
 
+import json
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from adlode import constants as C
 from adlode.functions.text import once, text
 
-try:
-    import ahocorasick
-except ImportError:  # the builtin engine needs nothing
-    ahocorasick = None
-
-# From this many aliases on, one pass in Python clearly beats a test per alias in the JVM (measured).
-AUTOMATON_FROM = 24
+# Up to so many aliases, testing each of them costs less than the words of a text (measured).
+DIRECT_UP_TO = 24
+# Characters of the grams that aliases are filed under.
+GRAM = 4
 
 ANYWHERE, AS_WORD = "reference", "word"
 
@@ -38,7 +35,7 @@ def _bounded(pattern: str) -> str:
     return f"(?<![{C.WORD_CHARS}]){pattern}(?![{C.WORD_CHARS}])"
 
 
-def _builtin(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
+def _direct(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
     parts = []
     if anywhere:
         table = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("skill")) for a, c in anywhere.items()])
@@ -63,34 +60,44 @@ def _builtin(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
     return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
-def _automaton(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
-    entries = [(a, c, False) for a, c in anywhere.items()] + [(a, c, True) for a, c in as_word.items()]
-    word_char = f"[{C.WORD_CHARS}]"
-
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scan = ahocorasick.Automaton()
-        for alias, skill, bounded in entries:
-            scan.add_word(alias, (len(alias), skill, bounded))
-        scan.make_automaton()
-        in_word = re.compile(word_char).match
-
-        def skills(value: str) -> list[str]:
-            found = set()
-            for last, (size, skill, bounded) in scan.iter(value):
-                if skill in found:
-                    continue
-                before, after = last - size, last + 1
-                if bounded and ((before >= 0 and in_word(value[before]))
-                                or (after < len(value) and in_word(value[after]))):
-                    continue
-                found.add(skill)
-            return list(found)
-
-        for batch in batches:
-            yield batch.map(skills)
-
-    return find(lowered)
+def _dictionary(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
+    run = f"[{C.WORD_CHARS}]+"
+    words = {a: c for a, c in as_word.items() if re.fullmatch(run, a)}
+    filed: dict[str, list[dict]] = {}
+    unfiled = {}, {}
+    for kind, aliases in enumerate((anywhere, {a: c for a, c in as_word.items() if a not in words})):
+        for alias, skill in aliases.items():
+            # wherever the alias occurs, its longest word is part of a word of the text
+            longest = max(re.findall(run, alias), key=len, default="")
+            if len(longest) < GRAM:
+                unfiled[kind][alias] = skill
+            else:
+                filed.setdefault(longest[:GRAM], []).append(
+                    {"alias": alias, "skill": skill, "pattern": _bounded(_quote(alias)) if kind else None})
+    book = F.from_json(
+        F.lit(json.dumps({"grams": list(filed), "filed": filed, "words": list(words), "skills": words})),
+        "grams array<string>, filed map<string,array<struct<alias:string,skill:string,pattern:string>>>, "
+        "words array<string>, skills map<string,string>")
+
+    def entry_hit(entry: Column) -> Column:
+        return F.contains(lowered, entry["alias"]) & (entry["pattern"].isNull() | F.rlike(lowered, entry["pattern"]))
+
+    def looked_up(present: Column) -> Column:
+        parts = []
+        if words:
+            whole = F.array_intersect(present, book["words"])
+            parts.append(F.transform(whole, lambda word: F.try_element_at(book["skills"], word)))
+        if filed:
+            grams = F.transform(
+                F.filter(present, lambda word: F.length(word) >= GRAM),
+                lambda word: F.transform(F.sequence(F.lit(1), F.length(word) - GRAM + 1), lambda at: F.substring(word, at, F.lit(GRAM))))
+            known = F.array_intersect(F.flatten(grams), book["grams"])
+            entries = F.flatten(F.transform(known, lambda gram: F.try_element_at(book["filed"], gram)))
+            parts.append(F.transform(F.filter(entries, entry_hit), lambda entry: entry["skill"]))
+        return F.concat(*parts) if parts else F.array().cast("array<string>")
+
+    found = once(F.array_distinct(F.regexp_extract_all(lowered, F.lit(run), F.lit(0))), looked_up)
+    return F.concat(found, _direct(lowered, *unfiled)) if any(unfiled) else found
 
 
 def match_skills(c: Column, aliases: Mapping[str, str], guards: Mapping[str, str] = C.CONTEXT_GUARDS,
@@ -106,16 +113,11 @@ def match_skills(c: Column, aliases: Mapping[str, str], guards: Mapping[str, str
     open_aliases = {a: s for a, s in aliases.items() if a and a not in guards}
     as_word = {a: s for a, s in open_aliases.items() if len(a) <= C.SHORT_ALIAS or match == AS_WORD}
     anywhere = {a: s for a, s in open_aliases.items() if a not in as_word}
-    if engine == "auto":
-        engine = "automaton" if ahocorasick and len(open_aliases) >= AUTOMATON_FROM else "builtin"
-    lowered = F.lower(text(c))
-    if engine == "automaton":
-        found = _automaton(lowered, anywhere, as_word)
-    elif engine == "builtin":
-        # as a lambda's variable the lowered text is made once, not once per alias
-        found = once(lowered, lambda t: _builtin(t, anywhere, as_word))
-    else:
-        raise ValueError("engine must be 'auto', 'builtin' or 'automaton'")
+    if engine not in ("auto", "direct", "dictionary"):
+        raise ValueError("engine must be 'auto', 'direct' or 'dictionary'")
+    find = _direct if engine == "direct" or engine == "auto" and len(open_aliases) <= DIRECT_UP_TO else _dictionary
+    # as a lambda's variable the lowered text is made once, not once per alias
+    found = once(F.lower(text(c)), lambda t: find(t, anywhere, as_word))
     if guarded:
         contexts = [F.when(context_hit(c, guards[a]), F.lit(s)) for a, s in guarded.items()]
         found = F.concat(found, F.array(*contexts))

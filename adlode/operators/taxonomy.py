@@ -77,7 +77,8 @@ def tag_by_join(rows: DataFrame, aliases: DataFrame, id_col: str, text_col: str,
         F.collect_list(F.struct("alias", "canonical")).alias("_candidates"))
 
     def occurs(whole, entry):
-        bounded = F.concat(F.lit(f"(?<![{C.WORD_CHARS}])\\Q"), entry["alias"], F.lit(f"\\E(?![{C.WORD_CHARS}])"))
+        quoted = F.replace(entry["alias"], F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+        bounded = F.concat(F.lit(f"(?<![{C.WORD_CHARS}])\\Q"), quoted, F.lit(f"\\E(?![{C.WORD_CHARS}])"))
         short = F.lit(match == S.AS_WORD) | (F.length(entry["alias"]) <= C.SHORT_ALIAS)
         return F.contains(whole, entry["alias"]) & (~short | F.rlike(whole, bounded))
 

@@ -416,7 +416,7 @@ def extract_skills(spark, d):
 
 @query(_SKILLS_SQL)
 def extract_skills_one_pass(spark, d):
-    return _skills(S.tagged(spark, d, "automaton"))
+    return _skills(S.tagged(spark, d, "dictionary"))
 
 
 @query(_SKILLS_SQL)
@@ -424,6 +424,32 @@ def extract_skills_joined(spark, d):
     return _skills(S.tagged_by_join(spark, d))
 
 
+LARGE_SQL = LISTINGS_SQL + f""",
+entries AS (
+  SELECT item_id AS line, 'Item ' || item_id AS skill, 'item ' || item_id AS alias FROM benchmark
+  UNION ALL
+  SELECT item_id, 'Item ' || item_id, unnest(list_filter(string_split_regex(lower(text), '[^\\p{{L}}]+'), lambda w: w <> '')[1:12]) FROM benchmark),
+alias_table AS MATERIALIZED (SELECT alias, arg_max(skill, line) AS skill FROM entries GROUP BY alias),
+lowered AS MATERIALIZED (SELECT id, lower(' ' || description) AS body FROM listings),
+hits AS (
+  SELECT DISTINCT l.id, a.skill FROM lowered l JOIN alias_table a ON contains(l.body, a.alias)
+    AND (length(a.alias) > 3 OR regexp_matches(l.body, '(^|{_BOUNDARY})' || a.alias || '({_BOUNDARY}|$)')))"""
+
+
+@query("WITH " + LARGE_SQL + """
+SELECT l.id, coalesce(string_agg(skill, '|' ORDER BY skill), '') AS skills, count(skill) AS skill_count
+FROM listings l LEFT JOIN hits h ON h.id = l.id GROUP BY l.id""")
+def extract_skills_large(spark, d):
+    """A taxonomy of several hundred aliases, taken from a table."""
+    return _skills(S.tagged_large(spark, d))
+
+
+@query(f"""WITH {LARGE_SQL}
+SELECT skill, count(*) AS count, {_PCT1.format(part='count(*)', whole='(SELECT count(*) FROM documents)')} AS pct FROM hits GROUP BY skill""")
+def skill_frequency_large(spark, d):
+    return stats.skill_frequency(S.tagged_large(spark, d))
+
+
 @query("WITH " + TAGS_SQL + """
 SELECT id, string_agg(skill, '|' ORDER BY skill) AS skills FROM hits WHERE skill IN ('Of', 'La', 'Le', 'Der') GROUP BY id""")
 def extract_skills_short(spark, d):
@@ -626,19 +652,23 @@ itemsets AS MATERIALIZED (
 
 
 def _rules_sql(lift: float) -> str:
+    """Every set with every proper part of it: the parts of a set of up to three items are listed, then looked up."""
     return f"""
-splits AS (
-  SELECT i.items, i.support, a.items AS ante, a.support AS sa, c.items AS cons, c.support AS sc
-  FROM itemsets i JOIN itemsets a ON a.size < i.size AND list_has_all(i.items, a.items)
-  JOIN itemsets c ON c.size = i.size - a.size AND list_has_all(i.items, c.items) AND NOT list_has_any(a.items, c.items)),
+keyed AS MATERIALIZED (SELECT *, array_to_string(items, ' + ') AS name FROM itemsets),
+parts AS (
+  SELECT name, support, items, unnest(list_filter([[items[1]], [items[2]], [items[3]], [items[1], items[2]], [items[1], items[3]], [items[2], items[3]]],
+    lambda p: len(list_filter(p, lambda x: x IS NOT NULL)) = len(p) AND len(p) < size)) AS ante FROM keyed),
+splits AS MATERIALIZED (
+  SELECT support, array_to_string(ante, ' + ') AS if_skills,
+         array_to_string(list_filter(items, lambda x: NOT list_contains(ante, x)), ' + ') AS then_skills FROM parts),
 rules AS (
-  SELECT array_to_string(ante, ' + ') AS if_skills, array_to_string(cons, ' + ') AS then_skills, support,
-         support / sa AS confidence, support / sa / sc AS lift FROM splits
-  WHERE support / sa >= CAST({C.MIN_CONFIDENCE} AS DOUBLE) AND support / sa / sc >= CAST({lift} AS DOUBLE))"""
+  SELECT if_skills, then_skills, s.support, s.support / a.support AS confidence, s.support / a.support / c.support AS lift
+  FROM splits s JOIN keyed a ON a.name = if_skills JOIN keyed c ON c.name = then_skills
+  WHERE s.support / a.support >= CAST({C.MIN_CONFIDENCE} AS DOUBLE) AND s.support / a.support / c.support >= CAST({lift} AS DOUBLE))"""
 
 
 _ITEMS_SQL = """
-order_items AS (
+order_items AS MATERIALIZED (
   SELECT DISTINCT l_orderkey AS id, string_split(p_name, ' ')[2] AS skill FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 _ITEMSET_OUT = " SELECT array_to_string(items, '|') AS items, size, count, support FROM itemsets"
 _ROUND3 = "round_even({x} * CAST(1000 AS DOUBLE), 0) / CAST(1000 AS DOUBLE)"

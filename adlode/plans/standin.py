@@ -92,7 +92,7 @@ def taxonomy(spark: SparkSession) -> DataFrame:
         "line bigint, canonical string, aliases string, category string")
 
 
-def tagged(spark: SparkSession, folder: str, engine: str = "builtin") -> DataFrame:
+def tagged(spark: SparkSession, folder: str, engine: str = "direct") -> DataFrame:
     """Listings with ``skills`` and ``skill_count``, and ``raw_id`` as after cleaning."""
     return tag_skills(_to_tag(spark, folder), aliases(), guards=GUARDS, engine=engine)
 
@@ -105,6 +105,18 @@ def tagged_by_join(spark: SparkSession, folder: str) -> DataFrame:
     return tag_skills(_to_tag(spark, folder), taxonomy_aliases(taxonomy(spark)), guards=GUARDS, limit=0)
 
 
+def large_taxonomy(spark: SparkSession, folder: str, words: int = 12) -> DataFrame:
+    """Benchmark items as a taxonomy of full size: the first words of each text are its aliases."""
+    spoken = F.filter(F.split(F.lower("text"), r"\P{L}+"), lambda word: word != "")
+    return table(spark, folder, "benchmark").select(
+        F.col("item_id").alias("line"), F.concat(F.lit("Item "), F.col("item_id")).alias("canonical"),
+        F.array_join(F.slice(spoken, 1, words), ";").alias("aliases"))
+
+
+def tagged_large(spark: SparkSession, folder: str) -> DataFrame:
+    return tag_skills(_to_tag(spark, folder), taxonomy_aliases(large_taxonomy(spark, folder)), guards={})
+
+
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """(order, item): the second word of each ordered part's name."""
     parts = table(spark, folder, "part").select(

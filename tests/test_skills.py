@@ -47,7 +47,7 @@ GOLDEN = [
 ]
 
 
-@pytest.mark.parametrize("engine", ["builtin", "automaton"])
+@pytest.mark.parametrize("engine", ["direct", "dictionary"])
 def test_golden(spark, held, engine):
     rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(GOLDEN)], "i int, t string")
     found = dict(rows.select("i", match_skills(F.col("t"), held, engine=engine)).collect())
@@ -84,7 +84,7 @@ pieces = st.sampled_from(["java", "script", "c", "++", "#", "git", "hub", "r", "
 def test_engines_agree(spark, held, alias_table, texts):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
     expected = {i: by_hand(t, held) for i, t in enumerate(texts)}
-    for engine in ("builtin", "automaton"):
+    for engine in ("direct", "dictionary"):
         assert dict(rows.select("id", match_skills(F.col("t"), held, engine=engine)).collect()) == expected
     joined = taxonomy.tag_by_join(rows, alias_table, "id", "t").select("id", "skills")
     assert dict(joined.collect()) == expected
@@ -92,7 +92,7 @@ def test_engines_agree(spark, held, alias_table, texts):
 
 def test_word_match_is_optional(spark, held):
     rows = spark.createDataFrame([("javascript message",)], "t string")
-    for engine in ("builtin", "automaton"):
+    for engine in ("direct", "dictionary"):
         assert rows.select(match_skills(F.col("t"), held, match="word", engine=engine)).first()[0] == ["JavaScript"]
     with pytest.raises(ValueError):
         match_skills(F.col("t"), held, match="fuzzy")
@@ -100,6 +100,30 @@ def test_word_match_is_optional(spark, held):
 
 def test_skills_are_matched_once_per_listing(spark, held):
     rows = spark.createDataFrame([(1, "", "java")], "id int, skills_raw string, description string")
-    tagged = taxonomy.skilled_only(taxonomy.tag_skills(rows, held, engine="builtin"))
+    tagged = taxonomy.skilled_only(taxonomy.tag_skills(rows, held, engine="direct"))
     plan = tagged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("javascript") == plan.count("[javascript,JavaScript]") == 1
+
+
+def test_aliases_with_pattern_signs(spark):
+    """Signs that mean something in a pattern, words of several runs and letters outside the word class."""
+    aliases = {r"\e": "Escape", r"a\eb": "Quoted", "(x)": "Paren", "c++": "C++", "big data": "Big Data", "ñao": "Ñao", "tcp/ip": "TCP/IP", "état": "État"}
+    texts = [r"a \e b", r"xa\eby", r"a\eb", "f(x)", "f (x) y", "c++11", "a c++ b", "bigger data", "my big data!", "ñao", "xñao", "tcp/ip4", "l'état", "détats", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    table = spark.createDataFrame(list(aliases.items()), "alias string, canonical string")
+    for match, limit in (("reference", 3), ("word", 99)):
+        def hit(alias, t):
+            bounded = re.search(f"(?<![{C.WORD_CHARS}]){re.escape(alias)}(?![{C.WORD_CHARS}])", t)
+            return bounded is not None if len(alias) <= limit else alias in t
+        expected = {i: sorted(s for a, s in aliases.items() if hit(a, t)) for i, t in enumerate(texts)}
+        for engine in ("direct", "dictionary"):
+            assert dict(rows.select("id", match_skills(F.col("t"), aliases, {}, match, engine)).collect()) == expected
+        assert dict(taxonomy.tag_by_join(rows, table, "id", "t", {}, match).select("id", "skills").collect()) == expected
+
+
+def test_hundreds_of_aliases_are_looked_up_in_the_jvm(spark, held):
+    many = {**held, **{f"alias number {n}": f"N{n}" for n in range(300)}, **{f"word{n}": f"W{n}" for n in range(300)}}
+    rows = spark.createDataFrame([(1, "xword17 Alias Number 23, java"), (2, None)], "id int, t string")
+    tagged = rows.select("id", match_skills(F.col("t"), many).alias("skills"))
+    assert "Python" not in tagged._jdf.queryExecution().executedPlan().toString()
+    assert dict(tagged.collect()) == {1: ["Java", "N2", "N23", "W1", "W17"], 2: []}
