@@ -5,13 +5,14 @@ where neither neighbour belongs to a word; guarded ones count when their context
 pattern occurs. Everything is a Spark expression. Two ways give the same result:
 
 * ``direct``     - one substring test per alias;
-* ``dictionary`` - the distinct words of a text are looked up: whole ones among the aliases that
-  are words, and their short grams among the grams that aliases are filed under. Only the aliases
-  found so are tested, so the cost follows the text and not the taxonomy.
+* ``dictionary`` - the distinct words of a text, and all parts of them that are as long as some
+  alias, are looked up in one hash set. An alias of several words is filed under the longest of them
+  and tested where that occurs. The cost follows the text and not the taxonomy.
 """
 
 import json
 import re
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
@@ -21,8 +22,6 @@ from adlode.functions.text import once, text
 
 # Up to so many aliases, testing each of them costs less than the words of a text (measured).
 DIRECT_UP_TO = 24
-# Characters of the grams that aliases are filed under.
-GRAM = 4
 
 ANYWHERE, AS_WORD = "reference", "word"
 
@@ -60,41 +59,64 @@ def _direct(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
     return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
+def _buckets(names: Mapping[str, str]) -> list[dict[str, str]]:
+    buckets: list[dict[str, str]] = [{} for _ in range(max(1, len(names) // 2))]
+    for name, skill in names.items():
+        buckets[zlib.crc32(name.encode("utf-8")) % len(buckets)][name] = skill
+    return buckets
+
+
 def _dictionary(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
     run = f"[{C.WORD_CHARS}]+"
     words = {a: c for a, c in as_word.items() if re.fullmatch(run, a)}
+    inside: dict[str, str] = {}
     filed: dict[str, list[dict]] = {}
     unfiled = {}, {}
     for kind, aliases in enumerate((anywhere, {a: c for a, c in as_word.items() if a not in words})):
         for alias, skill in aliases.items():
-            # wherever the alias occurs, its longest word is part of a word of the text
+            # wherever the alias occurs, its longest word is a word of the text or part of one
             longest = max(re.findall(run, alias), key=len, default="")
-            if len(longest) < GRAM:
-                unfiled[kind][alias] = skill
-            else:
-                filed.setdefault(longest[:GRAM], []).append(
+            if longest == alias:
+                inside[alias] = skill
+            elif len(longest) > C.SHORT_ALIAS:
+                filed.setdefault(longest, []).append(
                     {"alias": alias, "skill": skill, "pattern": _bounded(_quote(alias)) if kind else None})
+            else:
+                unfiled[kind][alias] = skill
+    parts = {*inside, *filed}
     book = F.from_json(
-        F.lit(json.dumps({"grams": list(filed), "filed": filed, "words": list(words), "skills": words})),
-        "grams array<string>, filed map<string,array<struct<alias:string,skill:string,pattern:string>>>, "
-        "words array<string>, skills map<string,string>")
+        F.lit(json.dumps({"words": list(words), "parts": sorted(parts), "lengths": sorted({len(p) for p in parts}),
+                          "skills": _buckets(words | inside), "runs": list(filed), "filed": filed})),
+        "words array<string>, parts array<string>, lengths array<int>, skills array<map<string,string>>, "
+        "runs array<string>, filed map<string,array<struct<alias:string,skill:string,pattern:string>>>")
+
+    def skills_of(found: Column) -> Column:
+        # a map is searched from its start, so names are dealt to many small ones
+        bucket = lambda name: F.pmod(F.crc32(name.cast("binary")), F.size(book["skills"])).cast("int")
+        return F.transform(found, lambda name: F.try_element_at(F.get(book["skills"], bucket(name)), name))
+
+    def parts_of(word: Column) -> Column:
+        fitting = F.filter(book["lengths"], lambda n: n <= F.length(word))
+        return F.flatten(F.transform(fitting, lambda n: F.transform(
+            F.sequence(F.lit(1), F.length(word) - n + 1), lambda at: F.substring(word, at, n))))
 
     def entry_hit(entry: Column) -> Column:
         return F.contains(lowered, entry["alias"]) & (entry["pattern"].isNull() | F.rlike(lowered, entry["pattern"]))
 
+    def with_parts(known: Column) -> Column:
+        if not filed:
+            return skills_of(known)
+        entries = F.flatten(F.transform(F.array_intersect(known, book["runs"]), lambda r: F.try_element_at(book["filed"], r)))
+        return F.concat(skills_of(known), F.transform(F.filter(entries, entry_hit), lambda entry: entry["skill"]))
+
     def looked_up(present: Column) -> Column:
-        parts = []
+        found = [F.array().cast("array<string>")]
         if words:
-            whole = F.array_intersect(present, book["words"])
-            parts.append(F.transform(whole, lambda word: F.try_element_at(book["skills"], word)))
-        if filed:
-            grams = F.transform(
-                F.filter(present, lambda word: F.length(word) >= GRAM),
-                lambda word: F.transform(F.sequence(F.lit(1), F.length(word) - GRAM + 1), lambda at: F.substring(word, at, F.lit(GRAM))))
-            known = F.array_intersect(F.flatten(grams), book["grams"])
-            entries = F.flatten(F.transform(known, lambda gram: F.try_element_at(book["filed"], gram)))
-            parts.append(F.transform(F.filter(entries, entry_hit), lambda entry: entry["skill"]))
-        return F.concat(*parts) if parts else F.array().cast("array<string>")
+            found.append(skills_of(F.array_intersect(present, book["words"])))
+        if parts:
+            long = F.filter(present, lambda word: F.length(word) > C.SHORT_ALIAS)
+            found.append(once(F.array_intersect(F.flatten(F.transform(long, parts_of)), book["parts"]), with_parts))
+        return F.concat(*found)
 
     found = once(F.array_distinct(F.regexp_extract_all(lowered, F.lit(run), F.lit(0))), looked_up)
     return F.concat(found, _direct(lowered, *unfiled)) if any(unfiled) else found
