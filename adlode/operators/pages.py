@@ -176,30 +176,36 @@ def read_details(details: DataFrame) -> DataFrame:
     )
 
 
-def follow_links(pages: DataFrame, details: DataFrame, harvest: Callable, read: Callable, base: str) -> DataFrame:
-    """Listings behind the links of listing pages, from the captured detail pages."""
+def harvested(pages: DataFrame, harvest: Callable, base: str) -> DataFrame:
+    """page_no, arrival, url: one row per link of the listing pages."""
     links = harvest(pages, base).select("page_no", F.posexplode("links").alias("place", "url"))
-    return links.select("page_no", arrival(F.col("place")), "url").join(read(details.select("url", "html")), "url")
+    return links.select("page_no", arrival(F.col("place")), "url")
 
 
 # ---- which pages count ------------------------------------------------------------------------
 
-def pages_until_empty(pages: DataFrame, n_cards: str = "n_cards", first: int = 1,
-                      cap: int | None = None) -> DataFrame:
-    """Pages before a portal's first page that is empty or, with a cap, missing; at most up to the cap.
+def pages_until_empty(pages: DataFrame, n_cards: str = "n_cards", first: int = 1, cap: int | None = None,
+                      missing_stops: bool = False) -> DataFrame:
+    """Pages from ``first`` on, before a portal's first page without cards, and at most ``cap`` of them.
 
-    The stopping page is one aggregated row per portal, so a portal's size does not matter.
+    With ``missing_stops`` the first number that was not captured stops a portal as an empty page does.
+    What stops a portal does not depend on the cap. A page captured several times is empty if all its
+    captures are. Pages and their successors meet by portal and number, and the stop is one aggregated
+    row per portal, so a portal's size does not matter.
     """
-    filled = F.col(n_cards) > 0
-    if cap is None:
-        stop = F.min(F.when(~filled, F.col("page_no")))
-        kept = pages
-    else:
-        kept = pages.filter(F.col("page_no").between(first, first + cap - 1))
-        wanted = F.sequence(F.lit(first), F.lit(first + cap)).cast("array<bigint>")
-        stop = F.array_min(F.array_except(wanted, F.collect_set(F.when(filled, F.col("page_no").cast("long")))))
-    stops = kept.groupBy("portal").agg(stop.alias("_stop"))
-    return kept.join(stops, "portal").filter(F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))).drop("_stop")
+    number = F.col("page_no").cast("long")
+    per_page = (pages.filter(number >= first).groupBy("portal", number.alias("page_no"))
+                .agg(F.max(F.coalesce(F.col(n_cards), F.lit(0))).alias("_cards")))
+    stops = per_page.filter("_cards <= 0").select("portal", "page_no")
+    if missing_stops:
+        known = per_page.select("portal", "page_no")
+        wanted = known.select("portal", F.col("page_no") + 1).toDF("portal", "page_no").unionByName(
+            known.select("portal").distinct().withColumn("page_no", F.lit(first).cast("long")))
+        stops = stops.unionByName(wanted.join(known, ["portal", "page_no"], "left_anti"))
+    stops = stops.groupBy("portal").agg(F.min("page_no").alias("_stop"))
+    inside = number.between(first, first + cap - 1) if cap is not None else number >= first
+    return (pages.filter(inside).join(stops, "portal", "left")
+            .filter(F.col("_stop").isNull() | (number < F.col("_stop"))).drop("_stop").select(*pages.columns))
 
 
 # ---- all portals ------------------------------------------------------------------------------
@@ -215,32 +221,35 @@ BASE_URLS = {
 FIRST_PAGE = {"emploi_cm": 0}
 
 
-def portal_listings(portal: str, pages: DataFrame, cap: int | None = None) -> DataFrame:
+def portal_listings(portal: str, pages: DataFrame, cap: int | None = None, missing_stops: bool = False) -> DataFrame:
     """Listings of one portal from its captured pages.
 
-    Pages of links and of single listings share the table; the latter have no ``page_no``.
+    Pages of links and of single listings share the table; the latter have no ``page_no``. Cards, or
+    the links of a page whether or not what they lead to was captured, decide where the portal ends.
     """
     base, first = BASE_URLS[portal], FIRST_PAGE.get(portal, 1)
     own = pages.filter(F.col("portal") == portal)
     lists, details = own.filter("page_no is not null"), own.filter("page_no is null")
-    read = {
+    shown_on = {
         "workconnect": lambda: read_job_cards(lists, base),
         "emploi_cm": lambda: read_labelled_cards(lists, base),
         "newjobscm": lambda: read_table_rows(lists, base),
-        "talent_cm": lambda: follow_links(lists, details, harvest_view_links, read_split_details, base),
-        "expertini_cm": lambda: follow_links(lists, details, harvest_job_links, read_details, base),
-    }[portal]()
-    if cap is None:
-        return normalise_record(read, portal)
-    # a portal's capped pages are read once for the stop rule and for the listings
-    found = settle(read)
-    filled = found.select("page_no").distinct().select("page_no", F.lit(1).alias("n_cards"), F.lit(portal).alias("portal"))
-    rows = found.join(pages_until_empty(filled, first=first, cap=cap), "page_no", "left_semi")
+        "talent_cm": lambda: harvested(lists, harvest_view_links, base),
+        "expertini_cm": lambda: harvested(lists, harvest_job_links, base),
+    }
+    # read once for the stop rule and for the listings
+    found = settle(shown_on[portal]())
+    counts = found.groupBy("page_no").agg(F.count("*").alias("n_cards"))
+    filled = lists.select("page_no").distinct().join(counts, "page_no", "left").withColumn("portal", F.lit(portal))
+    rows = found.join(pages_until_empty(filled, first=first, cap=cap, missing_stops=missing_stops), "page_no", "left_semi")
+    read = {"talent_cm": read_split_details, "expertini_cm": read_details}.get(portal)
+    if read:
+        rows = rows.join(read(details.select("url", "html")), "url")
     return normalise_record(rows, portal)
 
 
 def all_listings(pages: DataFrame, enabled: Sequence[str] = tuple(BASE_URLS), only: str | None = None,
-                 cap: int | None = None) -> DataFrame:
+                 cap: int | None = None, missing_stops: bool = False) -> DataFrame:
     """Listings of all enabled portals, or of one."""
     chosen = [p for p in enabled if only is None or p == only]
-    return union_sources({p: portal_listings(p, pages, cap) for p in chosen})
+    return union_sources({p: portal_listings(p, pages, cap, missing_stops) for p in chosen})

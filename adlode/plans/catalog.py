@@ -261,7 +261,26 @@ def pages_until_empty(spark, d):
         F.regexp_extract("url", "//([^/]+)", 1).alias("portal"),
         F.regexp_extract("url", "/([0-9]+)", 1).cast("long").alias("page_no"),
         F.when(F.regexp_count("html", F.lit("<li>")) >= 5, 1).otherwise(0).alias("n_cards"))
-    return P.pages_until_empty(pages, cap=None).select("page_id", "portal", "page_no")
+    return P.pages_until_empty(pages, first=0).select("page_id", "portal", "page_no")
+
+
+@query("""
+WITH numbered AS (
+  SELECT page_id, regexp_extract(url, '//([^/]+)', 1) AS portal, page_id // 3 % 40 AS page_no,
+         CASE WHEN len(regexp_extract_all(html, '<li>')) >= 5 THEN 1 ELSE 0 END AS n_cards FROM pages),
+per_page AS (SELECT portal, page_no, max(n_cards) AS n_cards FROM numbered WHERE page_no >= 2 GROUP BY ALL),
+runs AS (SELECT *, page_no - row_number() OVER (PARTITION BY portal ORDER BY page_no) AS run,
+                sum(CASE WHEN n_cards = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY portal ORDER BY page_no) AS empty_before FROM per_page)
+SELECT page_id, portal, page_no FROM numbered JOIN runs USING (portal, page_no)
+WHERE run = 1 AND empty_before = 0 AND page_no < 2 + 5""")
+def pages_until_empty_capped(spark, d):
+    """The same with a cap of five pages from the third on, where a page that was not captured stops too."""
+    pages = table(spark, d, "pages").select(
+        "page_id",
+        F.regexp_extract("url", "//([^/]+)", 1).alias("portal"),
+        F.pmod(F.floor(F.col("page_id") / 3), F.lit(40)).alias("page_no"),
+        F.when(F.regexp_count("html", F.lit("<li>")) >= 5, 1).otherwise(0).alias("n_cards"))
+    return P.pages_until_empty(pages, first=2, cap=5, missing_stops=True).select("page_id", "portal", "page_no")
 
 
 # ---- filters, projections, views --------------------------------------------------------------

@@ -142,3 +142,21 @@ def test_references_and_void_elements(spark):
 def test_more_pages_than_any_cap(spark):
     pages = spark.createDataFrame([(n, "p", n + 1, 1) for n in range(14)], "page_id long, portal string, page_no int, n_cards int")
     assert P.pages_until_empty(pages).count() == 14 and P.pages_until_empty(pages, cap=10).count() == 10
+
+
+def test_stop_rule_does_not_depend_on_the_cap(spark):
+    """Page 2 is empty and page 4 was not captured: with any cap the portal ends at page 1; a detail page that lacks ends nothing."""
+    card = '<div class="job-card"><h2>T{0}</h2></div>'
+    link = '<h2><a href="/view?id={0}">x</a></h2>'
+    schema = "portal string, page_no int, url string, html string"
+    for portal, shown, detail in (("workconnect", card, None), ("talent_cm", link, "<h1>T{0}</h1>")):
+        rows = [(portal, n, f"list{n}", "" if n == 2 else shown.format(n)) for n in (1, 2, 3, 5)]
+        if detail:
+            rows += [(portal, None, f"https://cm.talent.com/view?id={n}", detail.format(n)) for n in (1, 3, 5)]
+        pages = spark.createDataFrame(rows, schema)
+        for cap in (None, 9):
+            assert [r.title for r in P.all_listings(pages, only=portal, cap=cap).collect()] == ["T1"]
+        whole = spark.createDataFrame([r for r in rows if r[1] != 2] + [(portal, 2, "list2", shown.format(2))], schema)
+        titles = {"T1", "T3"} if detail else {"T1", "T2", "T3"}
+        assert {r.title for r in P.all_listings(whole, only=portal).collect()} == titles | {"T5"}
+        assert {r.title for r in P.all_listings(whole, only=portal, cap=9, missing_stops=True).collect()} == titles
