@@ -8,22 +8,15 @@ its matching end tag; :func:`elements` finds those in one linear pass per page.
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from adlode.functions.text import clean_text
+from adlode.functions.text import clean_text, lookup, once
 
-# Named references decoded besides numeric ones: the Latin-1 letters and signs by Python's own
-# table, and common marks; ``&amp;`` comes last, so that nothing is decoded twice.
-ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-    "&bull;": "•", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&ndash;": "–", "&mdash;": "—",
-    "&hellip;": "…", "&euro;": "€", "&oelig;": "œ", "&OElig;": "Œ",
-    **{f"&{name};": chr(code) for name, code in sorted(name2codepoint.items()) if 161 <= code <= 255},
-    "&amp;": "&",
-}
+# Named references, by Python's own table of those that HTML defines; a hard space is shown as a space.
+ENTITIES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"nbsp": " "}
 
 # Elements without content: they end with their own tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -70,27 +63,29 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
 
 
-def _numeric(c: Column) -> Column:
-    """``&#8217;`` and ``&#x2019;`` as their characters; numbers beyond Unicode stay as they are."""
-    parts = F.split(c, r"&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)")
+def decode(c: Column) -> Column:
+    """Character references, numeric and named, as characters, in one pass: nothing is decoded twice.
 
-    def one(piece: Column) -> Column:
-        number = F.substring_index(piece, ";", 1)
+    Unknown names and numbers beyond Unicode stay as they are.
+    """
+    named = lookup(ENTITIES)
+
+    def numbered(number: Column) -> Column:
         hexadecimal = F.lower(F.substring(number, 1, 1)) == "x"
         code = F.when(hexadecimal, F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).cast("long")
         known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(known, F.concat(char, F.substr(piece, F.length(number) + 2))).otherwise(F.concat(F.lit("&#"), piece))
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
-    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
+    def behind_sign(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        char = F.when(F.startswith(name, F.lit("#")), numbered(F.substr(name, F.lit(2)))).otherwise(named(name))
+        return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
 
+    def pieces(parts: Column) -> Column:
+        rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(rest, behind_sign), ""))
 
-def decode(c: Column) -> Column:
-    """Character references as characters: numeric ones and the named ones of Latin-1 and common marks."""
-    decoded = F.when(F.contains(c, F.lit("&#")), _numeric(c)).otherwise(c)
-    for entity, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")), once(F.split(c, "&"), pieces)).otherwise(c)
 
 
 def inner_text(element: Column) -> Column:

@@ -12,13 +12,12 @@ pattern occurs. Everything is a Spark expression. Two ways give the same result:
 
 import json
 import re
-import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
 from adlode import constants as C
-from adlode.functions.text import once, text
+from adlode.functions.text import lookup, once, text
 
 # Up to so many aliases, testing each of them costs less than the words of a text (measured).
 DIRECT_UP_TO = 24
@@ -59,13 +58,6 @@ def _direct(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
     return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
-def _buckets(names: Mapping[str, str]) -> list[dict[str, str]]:
-    buckets: list[dict[str, str]] = [{} for _ in range(max(1, len(names) // 2))]
-    for name, skill in names.items():
-        buckets[zlib.crc32(name.encode("utf-8")) % len(buckets)][name] = skill
-    return buckets
-
-
 def _dictionary(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
     run = f"[{C.WORD_CHARS}]+"
     words = {a: c for a, c in as_word.items() if re.fullmatch(run, a)}
@@ -86,14 +78,14 @@ def _dictionary(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[s
     parts = {*inside, *filed}
     book = F.from_json(
         F.lit(json.dumps({"words": list(words), "parts": sorted(parts), "lengths": sorted({len(p) for p in parts}),
-                          "skills": _buckets(words | inside), "runs": list(filed), "filed": filed})),
-        "words array<string>, parts array<string>, lengths array<int>, skills array<map<string,string>>, "
+                          "runs": list(filed), "filed": filed})),
+        "words array<string>, parts array<string>, lengths array<int>, "
         "runs array<string>, filed map<string,array<struct<alias:string,skill:string,pattern:string>>>")
 
+    skill_of = lookup(words | inside)
+
     def skills_of(found: Column) -> Column:
-        # a map is searched from its start, so names are dealt to many small ones
-        bucket = lambda name: F.pmod(F.crc32(name.cast("binary")), F.size(book["skills"])).cast("int")
-        return F.transform(found, lambda name: F.try_element_at(F.get(book["skills"], bucket(name)), name))
+        return F.transform(found, skill_of)
 
     def parts_of(word: Column) -> Column:
         fitting = F.filter(book["lengths"], lambda n: n <= F.length(word))

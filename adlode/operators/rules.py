@@ -74,7 +74,8 @@ def itemsets(baskets: DataFrame, min_support: float = C.MIN_SUPPORT, max_size: i
         part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
         first = rows.select("basket", "weight", part.alias("part"), "a")
         second = rows.select("basket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"))
-        pairs = first.join(second, ["basket", "part"]).filter("a < b").select("basket", "weight", "a", "b")
+        # counted here and linked to triples below, so they are joined once
+        pairs = settle(first.join(second, ["basket", "part"]).filter("a < b").select("basket", "weight", "a", "b"))
         level2 = _frequent(pairs, ["a", "b"], n, least)
         levels.append(level2)
 

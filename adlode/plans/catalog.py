@@ -148,10 +148,15 @@ _TITLE = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
 _H1 = "regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"
 
 
+# Named references that occur in the pages; the ampersand comes last, so that nothing is decoded twice.
+_NAMES = [name for name, char in H.ENTITIES.items() if len(char) == 1 and 160 <= ord(char) <= 255] + [
+    "nbsp", "lt", "gt", "quot", "apos", "bull", "rsquo", "lsquo", "ldquo", "rdquo", "ndash", "mdash", "hellip", "euro", "amp"]
+
+
 def _sql_text(x: str) -> str:
     x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for entity, char in H.ENTITIES.items():
-        x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name in _NAMES:
+        x = f"replace({x}, '&{name};', '{H.ENTITIES[name].replace(chr(39), chr(39) * 2)}')"
     return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
 

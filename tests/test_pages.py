@@ -131,9 +131,9 @@ def test_references_and_void_elements(spark):
 
     from adlode.functions import html as H
 
-    text = "C&ocirc;te d&#8217;Ivoire &#233;&#xE9; &amp;lt; &#0; &#99999999; &unknown; a&b"
+    text = "C&ocirc;te d&#8217;Ivoire &#233;&#xE9; &amp;lt; &#0; &#99999999; &unknown; a&b &alpha;&Scaron;&NotEqualTilde; &&lt &;"
     got = spark.createDataFrame([(text,), ("",), (None,)], "t string").select(H.decode(F.col("t"))).collect()
-    assert [r[0] for r in got] == ["Côte d’Ivoire éé &lt; &#0; &#99999999; &unknown; a&b", "", None]
+    assert [r[0] for r in got] == ["Côte d’Ivoire éé &lt; &#0; &#99999999; &unknown; a&b αŠ≂̸ &&lt &;", "", None]
     page = '<div><img class="company-logo" src="x">ACME<p>long description</p></div>'
     found = spark.createDataFrame([(page,)], "t string").select(H.elements(F.col("t"), [H.Pick("", "class", "company")])).first()[0]
     assert [r["element"] for r in found] == ['<img class="company-logo" src="x">']
