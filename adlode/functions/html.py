@@ -85,12 +85,12 @@ def decode(c: Column) -> Column:
         rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
         return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(rest, behind_sign), ""))
 
-    return F.when(F.contains(c, F.lit("&")), once(F.split(c, "&"), pieces)).otherwise(c)
+    return once(c, lambda value: F.when(F.contains(value, F.lit("&")), once(F.split(value, "&"), pieces)).otherwise(value))
 
 
 def inner_text(element: Column) -> Column:
     """Text of an element: tags out, entities decoded, white space collapsed. NULL stays NULL."""
-    return F.when(element.isNotNull(), clean_text(decode(F.regexp_replace(element, r"(?s)<[^>]*>", ""))))
+    return once(element, lambda e: F.when(e.isNotNull(), clean_text(decode(F.regexp_replace(e, r"(?s)<[^>]*>", "")))))
 
 
 def attribute(element: Column, name: str) -> Column:
