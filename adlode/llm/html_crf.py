@@ -28,7 +28,9 @@ from adlode.llm.common import slices, table, uniform
 
 SAMPLE, LAYOUTS, EPOCHS = 150, 3, 6
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+#: What decides where a tag ends: its bracket, or a value in quotes. A quote elsewhere than behind ``=`` is a sign like others.
+DECISIVE = re.compile(r">|=\s*([\"'])")
 NAMES = re.compile(r"(?:\s|^)(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,6 +69,47 @@ def tokens(attributes: str) -> list[str]:
     return [w.lower() for found in NAMES.findall(attributes) for w in PIECE.findall(" ".join(found))]
 
 
+class Tags:
+    """The tags of a page one after the other, in time linear in its length however broken it is.
+
+    A quoted value that never closes is no quoted value. Where quotes that close run on to the end of the page, this and
+    all later tags end at the next bracket.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quoted = page, True
+        self.last = {quote: page.rfind(quote) for quote in "\"'"}
+
+    def end(self, at: int) -> int:
+        """Where the tag that is open at ``at`` has its bracket, -1 if it has none."""
+        here = at
+        while self.quoted:
+            found = DECISIVE.search(self.page, here)
+            if found is None:
+                self.quoted = False
+            elif found[1] is None:
+                return found.start()
+            elif self.last[found[1]] < found.end():
+                here = found.end()
+            else:
+                here = self.page.index(found[1], found.end()) + 1
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, whether it is an end tag, name, attributes) of the next tag; comments and the like have no name."""
+        page = self.page
+        found = OPENING.search(page, at)
+        if found is None:
+            return None
+        if found[1]:
+            end = page.find("-->", found.end())
+            return found.start(), end + 3 if end >= 0 else len(page), False, "", ""
+        end = page.find(">", found.end()) if found[2] else self.end(found.end())
+        if end < 0:
+            return None
+        return found.start(), end + 1, bool(found[3]), (found[4] or "").lower(), page[found.end():end] if found[4] else ""
+
+
 def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
     """(text, share of it inside links, ancestors) of the leaf blocks with text, in page order.
 
@@ -104,12 +147,14 @@ def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
             if links:
                 linked += len(text.strip())
 
-    while (found := TOKEN.search(page, at)) is not None:
-        add(page[at:found.start()])
-        at, tag = found.end(), (found[2] or "").lower()
+    tags = Tags(page)
+    while (found := tags.next(at)) is not None:
+        start, end, closing, tag, attributes = found
+        add(page[at:start])
+        at = end
         if not tag:
             continue
-        if found[1]:
+        if closing:
             if tag in BLOCK:
                 flush()
             for n in range(len(stack) - 1, -1, -1):
@@ -120,8 +165,8 @@ def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
                     break  # an inline end tag closes nothing beyond its block
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            ending = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            at = ending.end() if ending else len(page)
             continue
         if tag not in IN_HEAD:
             end_head()
@@ -138,8 +183,8 @@ def blocks(page: str | None) -> list[tuple[str, float, tuple]]:
                     close(n)
                 elif name in own[1] or name in BLOCK and not own[0]:
                     break
-        if tag not in VOID and not found[3].rstrip().endswith("/"):
-            stack.append((tag, tuple(tokens(found[3])) if found[3] else ()))
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            stack.append((tag, tuple(tokens(attributes)) if attributes else ()))
             links += tag == "a"
             silent += tag in SILENT
     # A tag that is cut off at the end of the page is no text.

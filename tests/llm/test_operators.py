@@ -2,6 +2,7 @@ import hashlib
 import json
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -191,6 +192,25 @@ def test_a_head_without_end_tag_ends_where_the_body_begins():
     assert [text for text, _, _ in html_crf.blocks("<head><meta x><noframes>old</noframes></head><p>One.")] == ["One."]
 
 
+def test_stray_and_unclosed_quotes_lose_no_text():
+    def found(page):
+        return [text for text, _, _ in html_crf.blocks(page)]
+
+    assert found("<p title='it's'>First one.</p><p>We don't know.</p><p>Third.</p>") == ["First one.", "We don't know.", "Third."]
+    assert found("<p title='it's'>First para.") == ["First para."]
+    assert found('<p data-x=5">One.<p class = "a > b">Two.') == ["One.", "Two."]
+    assert found('<p>One.<p title="open>Two.</p><p>Three.') == ["One.", "Two.", "Three."]
+    assert found("<p>1 < 2 and 3 > 2<p>a <b") == ["1 < 2 and 3 > 2", "a"]
+    assert found("<p>One.<!-- never closed <p>Two.") == ["One."] and found("<p>One.<?x>Two.") == ["One.Two."]
+
+
+@pytest.mark.parametrize("unit", ['<a href="x ', "<a href='x' ", "<p title=\"'", "<", "<a =", "<!x ", "</p", "<a b='>"])
+def test_broken_pages_take_linear_time(unit):
+    start = time.perf_counter()
+    html_crf.blocks("<p>One.</p>" + unit * (1_500_000 // len(unit)) + ">")
+    assert time.perf_counter() - start < 20
+
+
 def test_article_text_of_a_page(spark):
     field = html_crf.learn(table(spark, SMALL, "pages").select("page_id", "html"))
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/'>Home</a></ul></nav>"
