@@ -14,7 +14,8 @@ from adlode.plans.catalog import QUERIES
 from adlode.session import get_session
 
 HEADLINE = (
-    "skill_frequency", "clean_listings", "extract_skills", "extract_skills_one_pass", "detect_language", "listing_hash",
+    "skill_frequency", "clean_listings", "extract_skills", "extract_skills_one_pass",
+    "extract_skills_large", "skill_frequency_large", "association_rules_orders", "detect_language", "listing_hash",
     "dedup_listings", "ingest_new_rows", "ingest_summary", "page_cards", "page_fields", "page_links", "page_label_map",
     "language_share", "source_comparison", "top_skills_per_group", "category_breakdown", "skill_frequency_filtered",
     "taxonomy_aliases", "listing_clusters", "group_profiles", "archetype_scores", "itemsets", "itemsets_orders",
