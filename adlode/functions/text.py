@@ -132,12 +132,14 @@ def bucket_experience(raw: Column, buckets=C.EXPERIENCE_BUCKETS, missing: str =
 
 
 def detect_language(c: Column, profiles: Mapping[str, Sequence[str]] = C.LANGUAGE_WORDS,
-                    min_chars: int = C.LANGUAGE_MIN_CHARS, scan_chars: int = C.LANGUAGE_SCAN_CHARS) -> Column:
-    """Language with the most function words at the start of the text; ties by language code.
+                    min_chars: int = C.LANGUAGE_MIN_CHARS, scan_chars: int | None = C.LANGUAGE_SCAN_CHARS) -> Column:
+    """Language with the most function words in the first ``scan_chars`` characters, in all of them
+    with None; ties by language code.
 
     One row at a time and without a join, so nothing is shuffled.
     """
-    words = F.split(F.lower(F.substring(text(c), 1, scan_chars)), r"\P{L}+")
+    scanned = text(c) if scan_chars is None else truncate(c, scan_chars)
+    words = F.split(F.lower(scanned), r"\P{L}+")
 
     def winner(found: Column) -> Column:
         # a score carries its language behind it, so that the greatest score names the winner

@@ -23,9 +23,11 @@ def excluded_count(rows: DataFrame, url: str = "url", fragment: str = C.DEMO_URL
 
 def clean_listings(raw: DataFrame, aliases: DataFrame | Mapping[str, str], demo_url: str | None = C.DEMO_URL,
                    cities: Mapping[str, str] = C.CITY_MAP, guards: Mapping[str, str] = C.CONTEXT_GUARDS,
-                   engine: str = "auto") -> DataFrame:
+                   engine: str = "auto", scan_chars: int | None = C.LANGUAGE_SCAN_CHARS) -> DataFrame:
     """Raw listings to the clean layout; ``skills`` holds the array behind ``skills_extracted``.
 
+    The language is told from the first ``scan_chars`` characters, from the whole text with None.
+
     Every step stays within the row: one scan, no shuffle.
     """
     rows = exclude_demo(raw, fragment=demo_url) if demo_url else raw
@@ -38,7 +40,7 @@ def clean_listings(raw: DataFrame, aliases: DataFrame | Mapping[str, str], demo_
         X.strip(F.col("company")).alias("company"),
         X.normalise_city(F.col("city"), F.col("description"), cities).alias("city"),
         X.bucket_experience(F.col("experience")).alias("experience"),
-        X.detect_language(whole).alias("language"),
+        X.detect_language(whole, scan_chars=scan_chars).alias("language"),
         X.text(F.col("skills_raw")).alias("skills_raw"),
         X.join_list(F.col("skills")).alias("skills_extracted"),
         "skill_count",

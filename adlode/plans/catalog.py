@@ -399,13 +399,13 @@ def bucket_experience(spark, d):
 @query(f"""
 WITH profile(lang, word) AS (VALUES {_values((k, w) for k, ws in C.LANGUAGE_WORDS.items() for w in ws)}),
 words AS (
-  SELECT doc_id, unnest(regexp_extract_all(lower(substr(text, 1, 500)), '\\p{{L}}+')) AS word FROM documents
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM documents
   WHERE length(text) >= 20),
 scores AS (SELECT doc_id, lang, count(*) AS hits FROM words JOIN profile USING (word) GROUP BY 1, 2),
 best AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, lang) AS r FROM scores)
 SELECT d.doc_id, coalesce(b.lang, 'unknown') AS language FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND r = 1""")
 def detect_language(spark, d):
-    return spread(table(spark, d, "documents"), "doc_id").select("doc_id", X.detect_language(F.col("text")).alias("language"))
+    return spread(table(spark, d, "documents"), "doc_id").select("doc_id", X.detect_language(F.col("text"), scan_chars=None).alias("language"))
 
 
 _ALIAS_ROWS = """
@@ -520,7 +520,7 @@ def title_case(spark, d):
 _CLEAN_SQL = f"""
 WITH profile(lang, word) AS (VALUES {_values((k, w) for k, ws in C.LANGUAGE_WORDS.items() for w in ws)}),
 words AS (
-  SELECT doc_id, unnest(regexp_extract_all(lower(substr(' ' || text, 1, 500)), '\\p{{L}}+')) AS word FROM documents
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM documents
   WHERE length(text) >= 19),
 scores AS (SELECT doc_id, lang, count(*) AS hits FROM words JOIN profile USING (word) GROUP BY 1, 2),
 best AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, lang) AS r FROM scores),
@@ -535,7 +535,7 @@ FROM tags t LEFT JOIN best b ON b.doc_id = t.id AND b.r = 1"""
 def clean_listings(spark, d):
     """The whole cleaning stage in one pass over the listings."""
     raw = S.listings(spark, d, spread_out=True).withColumn("scraped_at", F.lit(None).cast("timestamp"))
-    rows = clean.clean_listings(raw, S.aliases(), demo_url=None, cities=S.CITIES, guards=S.GUARDS)
+    rows = clean.clean_listings(raw, S.aliases(), demo_url=None, cities=S.CITIES, guards=S.GUARDS, scan_chars=None)
     return rows.select("raw_id", "hash", "title", "company", "city", "experience", "language", "skills_extracted",
                        F.col("skill_count").cast("long").alias("skill_count"), "description", "source")
 
