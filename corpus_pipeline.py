@@ -47,7 +47,7 @@ STAGES = [
     ("bpe", token_ids),
 ]
 
-#: The learnt and estimated stages have no equivalent in SQL; tests hold them against brute force.
+#: The learnt and estimated stages have no equivalent in SQL; tests/llm/test_pipeline.py holds every stage against a plain version.
 ORACLE_SQL = None
 
 
