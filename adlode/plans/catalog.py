@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from adlode import constants as C
 from adlode.functions import html as H, text as X
@@ -824,11 +824,37 @@ def cluster_profiles(spark, d):
 
 @query()
 def elbow_k(spark, d):
-    points, _ = clusters.weighted_points(S.tagged(spark, d))
-    k = clusters.choose_k(points, points.agg(F.sum("weight")).first()[0])
+    points, words = clusters.weighted_points(S.tagged(spark, d))
+    k = clusters.choose_k(points, words, points.agg(F.sum("weight")).first()[0])
     return points.select(F.lit(k).alias("k")).limit(1)
 
 
+@query("WITH " + TAGS_SQL + " SELECT skills, count(*) AS weight FROM tags WHERE skill_count > 0 GROUP BY skills")
+def skill_points(spark, d):
+    """The points of the clustering: distinct skill sets and how many listings have them."""
+    points, _ = clusters.weighted_points(S.tagged(spark, d))
+    return points.select(X.join_list(F.col("skills")).alias("skills"), "weight")
+
+
+@query("WITH " + TAGS_SQL + """, skilled AS (SELECT * FROM tags WHERE skill_count > 0)
+SELECT count(*) AS listings, least(4, count(DISTINCT skills)) AS clusters, 0 AS misplaced FROM skilled""")
+def kmeans_check(spark, d):
+    """All listings with skills are in four clusters, and none is nearer to another cluster's mean."""
+    points, words = clusters.weighted_points(S.tagged(spark, d))
+    found = clusters.misplaced(clusters.fit_best(points, words, 4, C.FINAL_RESTARTS).transform(points))
+    return found.select("listings", "clusters", F.col("misplaced").cast("int").alias("misplaced"))
+
+
+@query(f"SELECT CAST(unnest(generate_series({C.K_MIN}, {C.K_MAX})) AS INTEGER) AS k, true AS falls")
+def elbow_costs(spark, d):
+    """The cost of the best fit for every number of clusters never rises with it."""
+    points, words = clusters.weighted_points(S.tagged(spark, d))
+    costs = clusters.costs_by_k(points, words, points.agg(F.sum("weight")).first()[0])
+    rows = spark.createDataFrame(costs, "k int, cost double")
+    before = F.lag("cost").over(Window.orderBy("k"))
+    return rows.select("k", F.coalesce(F.col("cost") <= before, F.lit(True)).alias("falls"))
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 def _event_stream(spark, d) -> DataFrame:

@@ -1,5 +1,6 @@
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -129,16 +130,51 @@ def test_cluster_roles(spark):
 def test_weights_are_the_cluster_centres(spark):
     rows = [(i, "", [s for j, s in enumerate("ABCDE") if (i >> j) & 1 or i % 5 == j]) for i in range(64)]
     tagged = spark.createDataFrame(rows, "raw_id long, title string, skills array<string>")
-    points, encoder = K.weighted_points(tagged)
-    model = K.fit_best(points, 3, 3)
-    assert [c for _, c in K.costs_by_k(points, 64, 2, 4, restarts=4)] == sorted(
-        (c for _, c in K.costs_by_k(points, 64, 2, 4, restarts=4)), reverse=True)
-    sizes = dict(model.transform(points).groupBy("cluster_id").agg(F.sum("weight")).collect())
-    having = model.transform(points).select("cluster_id", "weight", F.explode("skills").alias("s")).groupBy(
+    points, words = K.weighted_points(tagged)
+    model = K.fit_best(points, words, 3, 3)
+    costs = [c for _, c in K.costs_by_k(points, words, 64, 2, 9, restarts=2)]
+    assert costs == sorted(costs, reverse=True)
+    assigned = model.transform(points)
+    sizes = dict(assigned.groupBy("cluster_id").agg(F.sum("weight")).collect())
+    having = assigned.select("cluster_id", "weight", F.explode("skills").alias("s")).groupBy(
         "cluster_id", "s").agg(F.sum("weight").alias("w")).collect()
     for r in having:
-        centre = model.clusterCenters()[r["cluster_id"]][encoder.vocabulary.index(r["s"])]
-        assert abs(centre - r["w"] / sizes[r["cluster_id"]]) < 1e-9
+        assert abs(model.centres[r["cluster_id"]][words.index(r["s"])] - r["w"] / sizes[r["cluster_id"]]) < 1e-12
+    assert tuple(K.misplaced(assigned).first()) == (64, 3, 0)
+    wrong = assigned.withColumn("cluster_id", (F.col("cluster_id") + F.size("skills")) % 3)
+    assert K.misplaced(wrong).first()["misplaced"] > 0
+
+
+def test_fit_equals_plain_lloyd(spark):
+    """The first start and every step beside plain numpy; the same whatever the partitions; ties and few points."""
+    rng = np.random.default_rng(5)
+    rows = [(i, "", [s for s, on in zip("ABCDEFG", rng.random(7) < 0.4) if on]) for i in range(150)]
+    points, words = K.weighted_points(spark.createDataFrame(rows, "raw_id long, title string, skills array<string>"))
+    model = K.fit_best(points, words, 4, 1)
+    sets = sorted((r["skills"], r["weight"]) for r in points.collect())
+    x, w = np.array([[float(s in skills) for s in words] for skills, _ in sets]), np.array([float(n) for _, n in sets])
+
+    def away(c):
+        return ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+
+    centres = x[[max(range(len(w)), key=lambda i: (w[i], sets[i][0]))]]
+    while len(centres) < 4:
+        pull = w * away(centres).min(axis=1)
+        centres = np.vstack([centres, x[max(range(len(w)), key=lambda i: (pull[i], sets[i][0]))]])
+    for _ in range(300):
+        nearest = away(centres).argmin(axis=1)
+        moved = np.array([np.average(x[nearest == j], axis=0, weights=w[nearest == j]) for j in range(4)])
+        if np.allclose(moved, centres, atol=1e-14):
+            break
+        centres = moved
+    assert np.allclose(model.centres, centres) and abs(model.cost - (w * away(centres).min(axis=1)).sum()) < 1e-9
+    again = K.fit_best(points.repartition(3), words, 4, 1)
+    assert np.array_equal(again.centres, model.centres)
+    assert K.fit_best(points, words, 4, 5).cost <= model.cost
+    few = points.limit(2)
+    fit = K.fit_best(few, words, 4, 2)
+    assert len(fit.centres) == 2 and fit.cost == 0
+    assert K.misplaced(fit.transform(few)).first()["misplaced"] == 0
 
 
 def test_too_few_listings(spark):
