@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adlode.functions.text import listing_hash, text
 from adlode.schema import LISTING_FIELDS
-
-# Buckets for handing out row numbers without one global sort; a fixed bound for what is broadcast.
-ID_BUCKETS = 4096
+from adlode.session import settle
 
 
 def normalise_record(rows: DataFrame, portal: str) -> DataFrame:
@@ -62,24 +60,26 @@ def new_rows(batch: DataFrame, stored: DataFrame, key: str = "hash") -> DataFram
     return batch.join(known, key, "left_anti")
 
 
-def number_rows(rows: DataFrame, after: int = 0, key: str = "hash") -> DataFrame:
-    """Add a dense ``id`` from ``after + 1``.
+def number_rows(rows: DataFrame, after: int = 0, key: str = "hash", order: Sequence[str] = ()) -> DataFrame:
+    """Add a dense ``id`` from ``after + 1``, by ``order`` and then ``key``, which has to be unique.
 
-    Rows are numbered within hash buckets and the buckets' offsets (at most
-    ``ID_BUCKETS`` rows) are broadcast, so there is no global sort. The order
-    comes from ``key``, which has to be unique.
+    The rows are split into ranges of that order and written; a row's id is the number of rows in the ranges
+    before its own (one broadcast row per range) plus its place within the range. So no task holds more than
+    a range, and as the key ends the order, equal values of ``order`` can be split too.
     """
-    keyed = rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS)))
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    placed = [*order, key]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(rows.repartitionByRange(parts, *placed).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(
-        F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("_bucket", before.alias("_before"))
-    position = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+        F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_range", before.alias("_before"))
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(*placed))
     return (
-        keyed.withColumn("_position", position)
-        .join(F.broadcast(offsets), "_bucket")
+        ranged.withColumn("_position", position)
+        .join(F.broadcast(offsets), "_range")
         .withColumn("id", (F.lit(after) + F.col("_before") + F.col("_position")).cast("long"))
-        .drop("_bucket", "_position", "_before")
+        .drop("_range", "_position", "_before")
     )
 
 

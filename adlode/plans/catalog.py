@@ -1,6 +1,7 @@
 """The registered queries, each with the SQL that gives the same rows where there is one."""
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -11,7 +12,10 @@ from adlode.functions.skills import context_hit
 from adlode.operators import archetypes, clean, clusters, ingest, pages as P, rules as R, stats, taxonomy, views
 from adlode.plans import standin as S
 from adlode.plans.standin import table
-from adlode.sources.tables import spread
+from adlode.schema import RAW
+from adlode.session import scratch_path
+from adlode.sources import sinks
+from adlode.sources.tables import read_csv, read_table, read_taxonomy, read_version, spread
 from adlode.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,13 +114,60 @@ def ingest_new_rows(spark, d):
 
 
 @query("WITH " + LISTINGS_SQL + """
-SELECT count(DISTINCT hash) AS n, 11 AS first, count(DISTINCT hash) + 10 AS last, count(DISTINCT hash) AS different FROM listings""")
+SELECT hash, 10 + row_number() OVER (ORDER BY min(id), hash) AS id FROM listings GROUP BY hash""")
 def number_rows(spark, d):
-    """Numbers after 10 for every distinct listing: dense and without repeats."""
-    unique = S.listings(spark, d).select("hash").distinct()
-    return ingest.number_rows(unique, after=10).agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").cast("int").alias("first"), F.max("id").alias("last"),
-        F.countDistinct("id").alias("different"))
+    """Ids after 10 for every distinct listing, in the order of arrival."""
+    unique = S.listings(spark, d).groupBy("hash").agg(F.min("id").alias("arrival"))
+    return ingest.number_rows(unique, after=10, order=["arrival"]).select("hash", "id")
+
+
+@query("WITH " + LISTINGS_SQL + """
+SELECT hash, row_number() OVER (ORDER BY min(CASE WHEN lang = 'en' THEN 0 ELSE 1 END), min(id), hash) AS id
+FROM listings GROUP BY hash""")
+def append_twice(spark, d):
+    """English listings stored first, then all: the stored ones stay, the others follow by arrival."""
+    rows, path = S.listings(spark, d).withColumn("arrival", F.col("id")), scratch_path(spark, "store")
+    sinks.append_new(rows.filter("lang = 'en'"), path)
+    sinks.append_new(rows, path)
+    return read_table(spark, path, RAW).select("hash", "id")
+
+
+@query("""
+WITH firsts AS (SELECT lang AS source, count(*) AS scraped, count(DISTINCT lower(split_part(text, chr(10), 1))) AS new
+                FROM documents WHERE lang IN ('de', 'en', 'es', 'fr') GROUP BY lang)
+SELECT source, scraped, new, false AS failed FROM firsts UNION ALL SELECT 'xx', 0, 0, true
+UNION ALL SELECT 'TOTAL', CAST(sum(scraped) AS BIGINT), CAST(sum(new) AS BIGINT), false FROM firsts""")
+def ingest_run_summary(spark, d):
+    """Languages as portals, one of which cannot be read."""
+    rows = S.listings(spark, d).withColumn("arrival", F.col("id"))
+    portals = {lang: partial(rows.filter, F.col("lang") == lang) for lang in ("de", "en", "es", "fr")}
+    portals["xx"] = lambda: rows.select("missing")
+    report = sinks.ingest_portals(spark, portals, scratch_path(spark, "store"))
+    return report.withColumn("failed", F.col("failed") != "")
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def csv_read_back(spark, d):
+    """Whole texts, with their quotes, commas, accents and line ends, as CSV and back."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return read_csv(spark, sinks.export_csv(docs, scratch_path(spark, "exports"), "documents", stamped=True), docs.schema)
+
+
+@query("SELECT p_brand || ' ' || p_type AS canonical, replace(p_name, ' ', ';') AS aliases, p_brand AS category FROM part")
+def taxonomy_read_back(spark, d):
+    rows = table(spark, d, "part").select(
+        F.concat_ws(" ", "p_brand", "p_type").alias("canonical"),
+        F.replace("p_name", F.lit(" "), F.lit(";")).alias("aliases"), F.col("p_brand").alias("category"))
+    return read_taxonomy(spark, sinks.export_csv(rows, scratch_path(spark, "exports"), "taxonomy")).drop("line")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents WHERE n_chars >= 500")
+def replaced_table(spark, d):
+    """A table written, then replaced by a part of itself."""
+    docs, folder = table(spark, d, "documents").select("doc_id", "lang", "n_chars"), scratch_path(spark, "versions")
+    sinks.write_version(docs, folder)
+    sinks.write_version(read_version(spark, folder, docs.schema).filter("n_chars >= 500"), folder)
+    return read_version(spark, folder, docs.schema)
 
 
 @query("SELECT doc_id AS url, lang AS source, text AS description FROM documents WHERE lang IN ('de', 'fr', 'es')")
@@ -189,6 +240,26 @@ def page_fields(spark, d):
     )
 
 
+@query(f"""
+SELECT page_id, {_sql_text("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS title FROM pages
+WHERE {_sql_text("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} <> ''""")
+def page_untitled(spark, d):
+    """Pages without an advert have no title here and drop out."""
+    advert = P.shown(H.first(H.visible(F.col("html")), Pick(attr="class", has="banner"), Pick(attr="class", has="ad")))
+    return ingest.drop_untitled(_captured(spark, d).select("page_id", advert.alias("title")))
+
+
+_PHRASE = "regexp_extract(html, '>([^<]*?{}[^<]*)(<|$)', 1)"
+
+
+@query(f"""
+SELECT page_id, {_sql_text(f"CASE WHEN {_PHRASE.format('nicht')} <> '' THEN {_PHRASE.format('nicht')} ELSE {_PHRASE.format('that')} END")} AS phrase
+FROM pages""")
+def page_dates(spark, d):
+    """The first piece of text with the first phrase that occurs, as dates are found."""
+    return _captured(spark, d).select("page_id", P.first_phrase(F.col("html"), ("nicht", "that")).alias("phrase"))
+
+
 @query("""
 WITH items AS (
   SELECT page_id, unnest(regexp_extract_all(html, '<li>.*?</li>')) AS item,

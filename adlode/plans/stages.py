@@ -1,41 +1,51 @@
 """The stages end to end: ingest, clean and tag, mine. Each reads and writes tables under one folder."""
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from adlode import constants as C, schema
 from adlode.operators.clean import clean_listings
 from adlode.operators.clusters import cluster_roles
-from adlode.operators.pages import all_listings
+from adlode.operators.pages import BASE_URLS, portal_listings
 from adlode.operators.rules import association_rules, itemsets, rule_table
 from adlode.operators.stats import skill_frequency
 from adlode.operators.taxonomy import baskets, taxonomy_aliases
 from adlode.functions.text import split_list
-from adlode.sources.sinks import append_new, export_csv, replace_table
-from adlode.sources.tables import read_or_empty, read_table, read_taxonomy, seed_if_empty
+from adlode.sources.sinks import export_csv, ingest_portals, write_version
+from adlode.sources.tables import read_or_empty, read_taxonomy, read_version, seed_if_empty
 from pyspark.sql import functions as F
 
 
-def run_ingest(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None, cap: int | None = None) -> int:
+def ingest_report(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None, cap: int | None = None) -> DataFrame:
     """Listings of captured pages, all of them unless ``cap`` limits a portal's pages, into the ``jobs``
-    table; returns the number of new ones."""
-    return append_new(all_listings(pages, only=only, cap=cap), f"{store}/jobs")
+    table; returns (source, scraped, new, failed) per portal and in total."""
+    portals = {p: partial(portal_listings, p, pages, cap) for p in BASE_URLS if only is None or p == only}
+    if not portals:
+        raise ValueError("no portal chosen")
+    return ingest_portals(spark, portals, f"{store}/jobs")
+
+
+def run_ingest(spark: SparkSession, pages: DataFrame, store: str, only: str | None = None, cap: int | None = None) -> int:
+    """The same; returns the number of new listings."""
+    return ingest_report(spark, pages, store, only, cap).filter("source = 'TOTAL'").first()["new"]
 
 
 def run_cleaning(spark: SparkSession, store: str, taxonomy_path: str, exports: str | None = None) -> DataFrame:
     """``jobs`` to ``jobs_clean`` and the skill frequencies, which are returned."""
     raw = seed_if_empty(read_or_empty(spark, f"{store}/jobs", schema.RAW))
     aliases = taxonomy_aliases(read_taxonomy(spark, taxonomy_path))
-    replace_table(clean_listings(raw, aliases).drop("skills"), f"{store}/jobs_clean")
-    frequency = skill_frequency(load_clean(spark, store))
-    replace_table(frequency, f"{store}/skill_frequency")
+    write_version(clean_listings(raw, aliases).drop("skills"), f"{store}/jobs_clean")
+    write_version(skill_frequency(load_clean(spark, store)), f"{store}/skill_frequency")
+    frequency = read_version(spark, f"{store}/skill_frequency", schema.FREQUENCY)
     if exports:
         export_csv(frequency, exports, "skill_frequency")
-    return read_table(spark, f"{store}/skill_frequency", schema.FREQUENCY)
+    return frequency
 
 
 def load_clean(spark: SparkSession, store: str) -> DataFrame:
     """``jobs_clean`` with the skills as an array again; empty if not written yet."""
-    clean = read_or_empty(spark, f"{store}/jobs_clean", schema.CLEAN)
+    clean = read_version(spark, f"{store}/jobs_clean", schema.CLEAN)
     return clean.withColumn("skills", split_list(F.col("skills_extracted")))
 
 
@@ -48,11 +58,13 @@ def run_mining(spark: SparkSession, store: str, exports: str | None = None) -> d
     rules = rule_table(association_rules(itemsets(baskets(skilled))))
     clusters, profiles = cluster_roles(skilled)
     layouts = {"association_rules": schema.RULES, "job_clusters": schema.CLUSTERS, "cluster_profiles": schema.PROFILES}
-    for name, table in zip(layouts, (rules, clusters, profiles)):
-        replace_table(table, f"{store}/{name}")
+    written = {}
+    for (name, layout), table in zip(layouts.items(), (rules, clusters, profiles)):
+        write_version(table, f"{store}/{name}")
+        written[name] = read_version(spark, f"{store}/{name}", layout)
         if exports:
-            export_csv(table, exports, name)
-    return {name: read_table(spark, f"{store}/{name}", layout) for name, layout in layouts.items()}
+            export_csv(written[name], exports, name)
+    return written
 
 
 def run_all(spark: SparkSession, pages: DataFrame, store: str, taxonomy_path: str,

@@ -23,3 +23,4 @@ FREQUENCY = _layout(skill=_S, count=_L, pct=_D)
 RULES = _layout(if_skills=_S, then_skills=_S, support=_D, confidence=_D, lift=_D)
 CLUSTERS = _layout(raw_id=_L, title=_S, cluster_id=_I, archetype=_S)
 PROFILES = _layout(cluster_id=_I, archetype=_S, size=_L, top_skills=_S, pct_of_total=_D)
+VERSIONS = _layout(number=_L, name=_S)

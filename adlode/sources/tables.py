@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adlode import constants as C
 from adlode.operators.ingest import with_hash
-from adlode.schema import RAW, TAXONOMY
+from adlode.schema import RAW, TAXONOMY, VERSIONS
 
 SEED_ROWS = 20
 
@@ -34,6 +34,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def read_version(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The current version of a table written by versions, or an empty one of the same layout."""
+    folder = folder.rstrip("/")
+    name = read_or_empty(spark, f"{folder}/versions", VERSIONS).agg(F.max_by("name", F.struct("number", "name"))).first()[0]
+    return spark.read.schema(schema).parquet(f"{folder}/{name}") if name else spark.createDataFrame([], schema)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)

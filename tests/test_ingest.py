@@ -41,6 +41,7 @@ def test_number_rows_is_dense(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sorted(numbered.values()) == list(range(11, 5011))
+    assert sorted(numbered, key=numbered.get) == sorted(numbered)
     assert numbered == getattr(test_number_rows_is_dense, "seen", numbered)
     test_number_rows_is_dense.seen = numbered
 
@@ -94,3 +95,39 @@ def test_export_and_read_back(spark, tmp_path):
     path = sinks.export_csv(rows, str(tmp_path), "freq", stamped=True)
     back = tables.read_csv(spark, path, schema.FREQUENCY)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_ids_follow_the_order_and_ties_are_split(spark):
+    rows = spark.range(3000).select(F.hex("id").alias("hash"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("arrival"))
+    numbered = ingest.number_rows(rows, order=["arrival"]).collect()
+    want = sorted(rows.collect(), key=lambda r: (r["arrival"], r["hash"]))
+    assert [r["hash"] for r in sorted(numbered, key=lambda r: r["id"])] == [r["hash"] for r in want]
+
+
+def test_a_failing_portal_does_not_stop_the_others(spark, batch, tmp_path):
+    def broken():
+        raise RuntimeError("no answer")
+
+    late = batch.filter("source = 'p'").withColumn("arrival", -F.col("id"))
+    hurt = batch.withColumn("title", F.raise_error(F.lit("bad page")).cast("string"))  # fails in the tasks
+    portals = {"p": lambda: late, "x": broken, "y": lambda: hurt, "q": lambda: batch.filter("source = 'q'")}
+    for new in (2, 0):
+        report = {r["source"]: r for r in sinks.ingest_portals(spark, portals, str(tmp_path / "jobs")).collect()}
+        assert {s: (r["scraped"], r["new"]) for s, r in report.items()} == {
+            "p": (3, new), "q": (1, new // 2), "x": (0, 0), "y": (0, 0), "TOTAL": (4, new + new // 2)}
+        assert "no answer" in report["x"]["failed"] and report["y"]["failed"] and not report["p"]["failed"]
+    stored = spark.read.parquet(str(tmp_path / "jobs")).orderBy("id").collect()
+    assert [(r["id"], r["title"], r["source"]) for r in stored] == [(1, "Ops", "p"), (2, "dev", "p"), (3, "Dev", "q")]
+    nothing = sinks.ingest_portals(spark, {"x": broken}, str(tmp_path / "none"))
+    assert [tuple(r)[:3] for r in nothing.collect()] == [("x", 0, 0), ("TOTAL", 0, 0)]
+
+
+def test_versions(spark, tmp_path):
+    folder, layout = str(tmp_path / "t"), spark.range(1).schema
+    assert tables.read_version(spark, folder, layout).count() == 0
+    sinks.write_version(spark.range(10), folder)
+    before = tables.read_version(spark, folder, layout)
+    sinks.write_version(before.filter("id < 4"), folder)  # reads what it replaces
+    assert tables.read_version(spark, folder, layout).count() == 4 and before.count() == 10
+    spark.range(3).write.parquet(f"{folder}/version-lost")  # an attempt that never was listed
+    assert tables.read_version(spark, folder, layout).count() == 4

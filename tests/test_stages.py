@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from adlode import schema
 from adlode.operators import stats, views
 from adlode.plans import stages
+from adlode.sources.sinks import write_version
 from tests.test_pages import PAGES
 
 TAXONOMY = """canonical,aliases,category
@@ -44,7 +45,7 @@ def test_mining_writes_every_table(spark, tmp_path):
     for field in schema.CLEAN.fields:
         if field.name not in clean.columns:
             clean = clean.withColumn(field.name, F.lit(None).cast(field.dataType))
-    clean.select(schema.CLEAN.fieldNames()).write.parquet(f"{tmp_path}/jobs_clean")
+    write_version(clean.select(schema.CLEAN.fieldNames()), f"{tmp_path}/jobs_clean")
     results = stages.run_mining(spark, str(tmp_path), str(tmp_path / "exports"))
     assert results["association_rules"].count() > 0 and results["job_clusters"].count() == 60
     assert sum(r["size"] for r in results["cluster_profiles"].collect()) == 60
