@@ -170,6 +170,37 @@ def test_language_of_held_out_rows(spark):
     assert {r.lang_pred for r in langid.identify(odd, None).collect()} == {"und"}
 
 
+def test_toxicity_cuts_follow_the_predicted_language(spark):
+    """Every language with enough labels has its own cut; others, and texts without letters, that of all."""
+    spoken = {"aa": "alpha anna lama kassa", "oo": "koro moto sodo loto", "ee": "mele sede tete kele"}
+    docs = spark.createDataFrame([(i, f"{words} {i}", lang) for lang, words in spoken.items() for i in range(ord(lang[0]), ord(lang[0]) + 20)],
+                                 "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    texts = [spoken["aa"] + " bad"] * 30 + [spoken["aa"]] * 30 + [spoken["oo"] + " bad"] * 30 + [spoken["oo"]] * 30 + [spoken["ee"]] * 5
+    assert toxicity.spoken(model, [*texts[::30], "12 !?", ""]) == ["aa", "aa", "oo", "oo", "ee", None, None]
+    assert toxicity.spoken(None, ["words"]) == [None]
+    network = toxicity.Network()
+    values = {texts[0]: 1.0, texts[30]: 0.0, texts[60]: 9.0, texts[90]: 6.0, texts[120]: 3.0}
+    network.logit = lambda text: values.get(text, 5.0)
+    labels = np.array([1.0] * 30 + [0.0] * 30 + [1.0] * 30 + [0.0] * 30 + [0.0] * 5)
+    network.calibrate(texts, labels, model)
+    assert set(network.shifts) == {"aa", "oo"}
+    found = network.scores(texts) >= toxicity.THRESHOLD
+    assert found.tolist() == (labels == 1).tolist()
+    one_cut = toxicity.Network()
+    one_cut.logit = network.logit
+    one_cut.calibrate(texts, labels)  # no cut for all can part them
+    assert ((one_cut.scores(texts) >= toxicity.THRESHOLD) != (labels == 1)).any()
+
+
+def test_toxicity_replaces_a_score_column(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 3), (None, None, None, None)], "doc_id long, text string, score string, text_ int")
+    found = toxicity.with_scores(docs, toxicity.Network()).collect()
+    assert all(set(r.asDict()) == {"doc_id", "text_", "score"} for r in found)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert [r.score for r in toxicity.with_scores(docs, None).collect()] == [0.0, 0.0]
+
+
 def test_toxicity_learns_words_and_their_beginnings():
     rng = np.random.default_rng(1)
     clean = [" ".join(f"w{rng.integers(300)}" for _ in range(40)) for _ in range(300)]
