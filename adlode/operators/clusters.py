@@ -178,8 +178,17 @@ def fit_by_k(points: DataFrame, vocabulary: tuple[str, ...], ks: Sequence[int],
     """
     if not ks:
         return {}
+    # every step reads the points again
+    points = points.select(column, "weight").persist()
+    try:
+        return _search(points, vocabulary, ks, [None, *(seed + i for i in range(1, max(1, restarts)))], max_iter, column)
+    finally:
+        points.unpersist()
+
+
+def _search(points: DataFrame, vocabulary: tuple[str, ...], ks: Sequence[int], seeds: Sequence[int | None], max_iter: int,
+            column: str) -> dict[int, Clusters]:
     lookup = {word: i for i, word in enumerate(vocabulary)}
-    seeds = [None, *(seed + i for i in range(1, max(1, restarts)))]
     starts = _starts(points, lookup, seeds, max(ks), column)
     jobs = [(k, s[:k]) for k in ks for s in starts]
     fits = _refine(points, vocabulary, [s for _, s in jobs], max_iter, column)
@@ -189,7 +198,7 @@ def fit_by_k(points: DataFrame, vocabulary: tuple[str, ...], ks: Sequence[int],
         if best[k].cost > best[fewer].cost:
             centres = best[fewer].centres
             while len(centres) < k:
-                centres = np.vstack([centres, _farthest(points.select(column, "weight"), lookup, centres)])
+                centres = np.vstack([centres, _farthest(points, lookup, centres)])
             best[k] = _refine(points, vocabulary, [centres], max_iter, column)[0]
     return best
 
