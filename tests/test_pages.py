@@ -160,3 +160,13 @@ def test_stop_rule_does_not_depend_on_the_cap(spark):
         titles = {"T1", "T3"} if detail else {"T1", "T2", "T3"}
         assert {r.title for r in P.all_listings(whole, only=portal).collect()} == titles | {"T5"}
         assert {r.title for r in P.all_listings(whole, only=portal, cap=9, missing_stops=True).collect()} == titles
+
+
+def test_elements_are_found_row_by_row(spark):
+    """No Arrow batch, which holds thousands of pages with all their elements, stands in a Python worker."""
+    pages = spark.createDataFrame([(1, "<section><section>a</section></section>"), (2, None)], "page_id long, html string")
+    cards = P.page_cards(pages, [Pick("section")])
+    plan = cards._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [(r.page_id, r.card_no, r.card) for r in cards.collect()] == [
+        (1, 0, "<section><section>a</section></section>"), (1, 1, "<section>a</section>")]
