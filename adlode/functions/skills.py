@@ -5,14 +5,13 @@ where neither neighbour belongs to a word; guarded ones count when their context
 pattern occurs. Everything is a Spark expression. Two ways give the same result:
 
 * ``direct``     - one substring test per alias;
-* ``dictionary`` - the distinct words of a text, and all parts of them that are as long as some
-  alias, are looked up in one hash set. An alias of several words is filed under the longest of them
-  and tested where that occurs. The cost follows the text and not the taxonomy.
+* ``dictionary`` - one pattern, a tree of the aliases' letters, takes the longest alias at every place of
+  a text; the others that start there are its beginnings and looked up. The cost follows the text and
+  not the taxonomy.
 """
 
-import json
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -58,60 +57,46 @@ def _direct(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str,
     return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
+def _sign(c: str) -> str:
+    return c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}"
+
+
+def _longest(aliases: Iterable[str]) -> str:
+    """A pattern that takes the longest alias at a place; aliases share the beginnings they have in common."""
+    tree: dict[str, dict] = {}
+    for alias in aliases:
+        node = tree
+        for c in alias:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        line = ""
+        while len(node) == 1 and "" not in node:
+            (c, node), = node.items()
+            line += _sign(c)
+        ways = [_sign(c) + pattern(node[c]) for c in sorted(node) if c]
+        return f"{line}(?:{'|'.join(ways)}){'?' * ('' in node)}" if ways else line
+
+    return pattern(tree)
+
+
 def _dictionary(lowered: Column, anywhere: Mapping[str, str], as_word: Mapping[str, str]) -> Column:
-    run = f"[{C.WORD_CHARS}]+"
-    words = {a: c for a, c in as_word.items() if re.fullmatch(run, a)}
-    inside: dict[str, str] = {}
-    filed: dict[str, list[dict]] = {}
-    unfiled = {}, {}
-    for kind, aliases in enumerate((anywhere, {a: c for a, c in as_word.items() if a not in words})):
-        for alias, skill in aliases.items():
-            # wherever the alias occurs, its longest word is a word of the text or part of one
-            longest = max(re.findall(run, alias), key=len, default="")
-            if longest == alias:
-                inside[alias] = skill
-            elif len(longest) > C.SHORT_ALIAS:
-                filed.setdefault(longest, []).append(
-                    {"alias": alias, "skill": skill, "pattern": _bounded(_quote(alias)) if kind else None})
-            else:
-                unfiled[kind][alias] = skill
-    parts = {*inside, *filed}
-    book = F.from_json(
-        F.lit(json.dumps({"words": list(words), "parts": sorted(parts), "lengths": sorted({len(p) for p in parts}),
-                          "runs": list(filed), "filed": filed})),
-        "words array<string>, parts array<string>, lengths array<int>, "
-        "runs array<string>, filed map<string,array<struct<alias:string,skill:string,pattern:string>>>")
-
-    skill_of = lookup(words | inside)
-
-    def skills_of(found: Column) -> Column:
-        return F.transform(found, skill_of)
-
-    def parts_of(word: Column) -> Column:
-        fitting = F.filter(book["lengths"], lambda n: n <= F.length(word))
-        return F.flatten(F.transform(fitting, lambda n: F.transform(
-            F.sequence(F.lit(1), F.length(word) - n + 1), lambda at: F.substring(word, at, n))))
-
-    def entry_hit(entry: Column) -> Column:
-        return F.contains(lowered, entry["alias"]) & (entry["pattern"].isNull() | F.rlike(lowered, entry["pattern"]))
-
-    def with_parts(known: Column) -> Column:
-        if not filed:
-            return skills_of(known)
-        entries = F.flatten(F.transform(F.array_intersect(known, book["runs"]), lambda r: F.try_element_at(book["filed"], r)))
-        return F.concat(skills_of(known), F.transform(F.filter(entries, entry_hit), lambda entry: entry["skill"]))
-
-    def looked_up(present: Column) -> Column:
-        found = [F.array().cast("array<string>")]
-        if words:
-            found.append(skills_of(F.array_intersect(present, book["words"])))
-        if parts:
-            long = F.filter(present, lambda word: F.length(word) > C.SHORT_ALIAS)
-            found.append(once(F.array_intersect(F.flatten(F.transform(long, parts_of)), book["parts"]), with_parts))
-        return F.concat(*found)
-
-    found = once(F.array_distinct(F.regexp_extract_all(lowered, F.lit(run), F.lit(0))), looked_up)
-    return F.concat(found, _direct(lowered, *unfiled)) if any(unfiled) else found
+    word = f"[{C.WORD_CHARS}]"
+
+    def found(aliases: Mapping[str, str], bounded: bool) -> Column:
+        # other aliases that start at the same place are beginnings of the longest one
+        reached = {alias: [aliases[alias[:n]] for n in range(1, len(alias) + 1) if alias[:n] in aliases
+                           and not (bounded and re.match(word, alias[n:]))] for alias in aliases}
+        before, behind = (f"(?<!{word})", f"(?!{word})") if bounded else ("", "")
+        # most positions are ruled out by their character alone
+        firsts = "".join(_sign(c) for c in sorted({a[0] for a in aliases}))
+        pattern = f"(?=[{firsts}]){before}(?=({_longest(aliases)}){behind})"
+        hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
+        return F.flatten(F.transform(hits, lookup(reached, "array<string>")))
+
+    parts = [found(aliases, bounded) for aliases, bounded in ((anywhere, False), (as_word, True)) if aliases]
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
 def match_skills(c: Column, aliases: Mapping[str, str], guards: Mapping[str, str] = C.CONTEXT_GUARDS,

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from adlode import constants as C
 from adlode.functions import skills as S
 from adlode.functions.text import combined_text, once, split_list, strip, text
+from adlode.session import settle
 
 # Alias tables up to this size are held by every task; larger ones are joined.
 MAX_HELD_ALIASES = 200_000
-# Tasks a frequent gram is spread over in that join.
-SPREAD = 16
+# Tasks a frequent run is spread over in that join, and the length from which a run is cut.
+SPREAD, LONG_RUN = 16, 32
 
 
 def taxonomy_aliases(taxonomy: DataFrame, line: str = "line") -> DataFrame:
@@ -54,27 +55,47 @@ def tag_skills(listings: DataFrame, aliases: DataFrame | Mapping[str, str], id_c
 
 def tag_by_join(rows: DataFrame, aliases: DataFrame, id_col: str, text_col: str,
                 guards: Mapping[str, str] = C.CONTEXT_GUARDS, match: str = S.ANYWHERE) -> DataFrame:
-    """The same tags for alias tables of any size, by joining on the aliases' first characters.
+    """The same tags for alias tables of any size, by joining texts and aliases on the runs of a text.
 
-    Texts and aliases meet on short character grams; only gram and id travel, and
-    every candidate is tested against the whole text before it counts.
+    A text falls into runs of word characters and of others, and an alias is filed under its longest
+    run of word characters. Which aliases a run may belong to is found once for every distinct run of
+    the table, on short grams; the texts then meet the runs that lead to any. Only run and id travel,
+    and every candidate is tested against the whole text before it counts.
     """
-    size = C.SHORT_ALIAS + 1
     lowered = F.lower(text(F.col(text_col)))
-    # a short alias is its own gram, a long one is found by its first characters
+    word, size = f"[{C.WORD_CHARS}]", C.SHORT_ALIAS + 1
+
+    def runs(c):
+        return F.regexp_extract_all(c, F.lit(f"{word}+|[^{C.WORD_CHARS}]+"), F.lit(0))
+
+    def windows(run):
+        # a long run is cut so that every gram lies in a window
+        starts = F.sequence(F.lit(1), F.length(run), F.lit(LONG_RUN - size))
+        return F.when(F.length(run) <= LONG_RUN, F.array(run)).otherwise(
+            F.transform(starts, lambda at: F.substring(run, at, LONG_RUN)))
+
+    own = F.filter(runs(F.col("alias")), lambda run: F.rlike(run, F.lit(word)))
+    longest = F.array_max(F.transform(own, lambda run: F.struct(F.length(run).alias("n"), run.alias("run"))))["run"]
+    bounded = F.lit(match == S.AS_WORD) | (F.length("alias") <= C.SHORT_ALIAS)
     keyed = (
-        aliases.filter(~F.col("alias").isin(*guards)).select(
-            F.substring("alias", 1, size).alias("gram"), "alias", "canonical")
+        aliases.filter(~F.col("alias").isin(*guards)).select("alias", "canonical", F.coalesce(longest, "alias").alias("part"),
+                                                             (bounded & longest.isNotNull()).alias("alone"))
+        .withColumn("gram", F.substring("part", 1, size))
     )
+    present = rows.select(id_col, F.explode(F.array_distinct(F.flatten(F.transform(runs(lowered), windows)))).alias("run"))
     # every start position gives one gram of each size, in one pass per size
     grams = F.array_distinct(F.flatten(F.array(*[
-        F.regexp_extract_all(lowered, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, size + 1)])))
-    # a gram may occur in most texts, so its rows are spread over several tasks
-    present = rows.select(id_col, F.explode(grams).alias("gram")).withColumn(
-        "spread", F.pmod(F.xxhash64(id_col), F.lit(SPREAD)))
-    keyed = keyed.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<bigint>")))
-    candidates = present.join(keyed, ["gram", "spread"]).groupBy(id_col).agg(
-        F.collect_list(F.struct("alias", "canonical")).alias("_candidates"))
+        F.regexp_extract_all(F.col("run"), F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, size + 1)])))
+    fits = F.when(F.length("run") >= LONG_RUN, F.lit(True)).when(F.col("alone"), F.col("run") == F.col("part")).otherwise(
+        F.contains("run", "part"))
+    # written, so that Spark knows how few runs lead to an alias and need not shuffle the texts' runs
+    filed = settle(present.select("run").distinct().withColumn("gram", F.explode(grams)).join(keyed, "gram").filter(fits)
+                   .groupBy("run").agg(F.collect_set(F.struct("alias", "canonical")).alias("entries")))
+    # a run may occur in most texts, so its rows are spread over several tasks
+    present = present.withColumn("spread", F.pmod(F.xxhash64(id_col), F.lit(SPREAD)))
+    filed = filed.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<bigint>")))
+    candidates = present.join(filed, ["run", "spread"]).groupBy(id_col).agg(
+        F.array_distinct(F.flatten(F.collect_list("entries"))).alias("_candidates"))
 
     def occurs(whole, entry):
         quoted = F.replace(entry["alias"], F.lit(r"\E"), F.lit(r"\E\\E\Q"))

@@ -127,3 +127,32 @@ def test_hundreds_of_aliases_are_looked_up_in_the_jvm(spark, held):
     tagged = rows.select("id", match_skills(F.col("t"), many).alias("skills"))
     assert "Python" not in tagged._jdf.queryExecution().executedPlan().toString()
     assert dict(tagged.collect()) == {1: ["Java", "N2", "N23", "W1", "W17"], 2: []}
+
+
+def test_a_run_met_by_parts_is_no_word(spark):
+    """A long alias of several words leads to its parts in other words; those are no words of their own."""
+    rows = spark.createDataFrame([("javascript",), ("java",), ("x java ee y",)], "t string")
+    aliases = {"java": "Java", "java ee": "EE"}
+    for engine in ("direct", "dictionary"):
+        got = rows.select(match_skills(F.col("t"), aliases, {}, "word", engine)).collect()
+        assert [r[0] for r in got] == [[], ["Java"], ["EE", "Java"]]
+
+
+def test_join_meets_runs_not_grams(spark):
+    """Every distinct run of a text goes into the join once, long ones in windows; its grams do not."""
+    long = "я" * 50 + "данные" + "я" * 50
+    aliases = {"данные": "Data", "ab": "Ab", "c-d-e": "Cde", "longest": "Long", "++": "Plus"}
+    table = spark.createDataFrame(list(aliases.items()), "alias string, canonical string")
+    rows = spark.createDataFrame([(1, long), (1, "ab"), (None, "xab c-d-efg"), (2, "thelongestword a++b"), (3, "++ab ab"), (4, None)], "id int, t string")
+    got = taxonomy.tag_by_join(rows, table, "id", "t", {})
+    assert sorted((r.t or "", r.skills) for r in got.collect()) == sorted([
+        (long, ["Data"]), ("ab", ["Ab"]), ("xab c-d-efg", ["Cde"]), ("thelongestword a++b", ["Long"]), ("++ab ab", ["Ab"]), ("", [])])
+    assert "{1})" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dictionary_is_one_pattern(spark, held):
+    """No part of a text is looked up that is no alias."""
+    many = {**held, **{f"alias number {n}": f"N{n}" for n in range(300)}}
+    plan = spark.createDataFrame([("x",)], "t string").repartition(1).select(match_skills(F.col("t"), many))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in text and "sequence(" not in text
