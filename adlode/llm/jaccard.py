@@ -38,9 +38,9 @@ WIDTH, PERCENT = 5, 75
 #: Members of a bucket that are kept in one array.
 CHUNK = 1024
 #: Documents that a task looks at together, and words whose hashes a worker remembers before it starts anew.
-BATCH, CACHE_WORDS = 4096, 500_000
+BATCH, CACHE_WORDS = 4096, 200_000
 #: Sampled shingles that a bucket holds, about and at most; each travels with its owner in 16 bytes. Buckets follow from it.
-SHINGLES = 4_000_000
+SHINGLES = 1_000_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 

@@ -100,3 +100,11 @@ def test_buckets_follow_the_size_of_the_input(spark):
     assert max(largest) <= 1000
     rows = [sorted(map(tuple, jaccard.profiles(docs, "doc_id", "text", 75, 5, **size).collect())) for size in ({}, {"per_bucket": 1000})]
     assert rows[0] == rows[1] and len(rows[0]) == docs.distinct().count()
+
+
+def test_a_bucket_stays_small_beside_a_worker(spark):
+    """A group that a Python worker loads whole holds about 16 MB of shingles and owners, not 64."""
+    assert jaccard.SHINGLES * 16 <= 16 << 20
+    docs = spark.createDataFrame([(i, "x" * 4000) for i in range(4000)], "doc_id long, text string")
+    few = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert jaccard._buckets(docs, "text", 100_000) > few
