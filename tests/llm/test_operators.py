@@ -256,3 +256,17 @@ def test_article_text_of_a_page(spark):
     rows = html_crf.extract(spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "<p", "z")], "page_id long, html string, text string"),
                             field).collect()
     assert [(r.text, r.n_chars) for r in rows] == [("", 0)] * 3
+
+
+def test_toxicity_learns_from_every_label_in_shares(spark, monkeypatch):
+    """No label is left out beyond any number, whether one share learns or several."""
+    rows = [(i, f"word{i % 7} " + ("vile" if i % 10 == 0 else "kind") + f" thing{i % 13}", int(i % 10 == 0)) for i in range(3600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    known = docs.select(F.col("doc_id").alias("sample_id"), F.col("toxic").alias("sample_label"))
+    texts = docs.select(F.col("doc_id").alias("sample_id"), F.col("text").alias("sample_text"))
+    dealt = toxicity._labelled(texts, known, 4, False)
+    assert dealt.filter("slots IS NULL").exceptAll(dealt.filter("sample_text IS NOT NULL")).isEmpty()
+    assert dealt.count() == 3600 and 600 < dealt.filter("slots IS NULL").count() < 840
+    monkeypatch.setattr(toxicity, "SHARE", 900)
+    network = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert ((network.scores([t for _, t, _ in rows]) >= toxicity.THRESHOLD) == np.array([x == 1 for _, _, x in rows])).all()
