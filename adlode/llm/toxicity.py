@@ -23,6 +23,8 @@ no labels of both kinds every score is 0; repeated rows score alike; a column wi
 score is replaced.
 """
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,8 +41,8 @@ EPOCHS, RATE, THRESHOLD = 5, 0.01, 0.7
 SHARE, SHARES, MIXED, SLOT_BLOCK, CELLS = 3000, 64, 4096, 1 << 12, 256
 SLOTS, SIZE, WIDTHS, FILTERS = 1 << 16, 16, (1, 2, 3), 8
 TAPS = sum(WIDTHS)
-#: Words whose projections a worker remembers before it starts anew, and words pooled at a time.
-CACHE_WORDS, PIECE = 150_000, 1 << 15
+#: Words whose projections a worker remembers, beginnings of words whose slots it remembers, and words pooled at a time.
+CACHE_WORDS, CACHE_BEGINNINGS, PIECE = 150_000, 1 << 16, 1 << 15
 EDGES = b".,;:!?()[]{}\"'*%$#&|<>-_"
 PREFIXES = (4, 5)
 LEAST_LABELS = 20
@@ -57,20 +59,40 @@ def spoken(model, texts: list[str]) -> list[str | None]:
     return names
 
 
-def features(word: bytes) -> list[int]:
-    """Slots of a word and of its beginnings (in letters)."""
-    plain = word.strip(EDGES)
-    letters = plain.decode("utf-8", "ignore")
-    parts = [b"w" + plain, *(f"{n}{letters[:n]}".encode() for n in PREFIXES)]
-    return [xxhash.xxh3_64_intdigest(p) % SLOTS for p in parts]
+@lru_cache(CACHE_BEGINNINGS)
+def beginnings(letters: str) -> bytes:
+    """The slots of the beginnings of a word that starts with ``letters``."""
+    return np.array([xxhash.xxh3_64_intdigest(f"{n}{letters[:n]}".encode()) % SLOTS for n in PREFIXES], np.uint16).tobytes()
+
+
+def features(words: list[bytes]) -> np.ndarray:
+    """Slots of every word and of its beginnings (in letters), a row per word."""
+    plain = [w.strip(EDGES) for w in words]
+    slots = np.empty((len(words), 1 + len(PREFIXES)), np.uint16)
+    digests = b"".join([xxhash.xxh3_64_digest(b"w" + p) for p in plain])
+    slots[:, 0] = np.frombuffer(digests, ">u8") % SLOTS
+    letters = b" ".join(plain).decode("utf-8", "ignore").split(" ") if words else []  # words hold no blanks
+    longest = max(PREFIXES)
+    slots[:, 1:] = np.frombuffer(b"".join([beginnings(w[:longest]) for w in letters]), np.uint16).reshape(-1, len(PREFIXES))
+    return slots
+
+
+class Places(dict):
+    """Words and their places in the order in which they came."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
 
 
 def slots_of(texts: list[str]) -> list[np.ndarray]:
     """The slots of all words of every text, a row per word."""
-    split = [t.lower().encode("utf-8").split() for t in texts]
-    place = {w: i for i, w in enumerate(set().union(*split))}
-    slots = np.array([features(w) for w in place], np.uint16).reshape(-1, 1 + len(PREFIXES))
-    return [slots[np.fromiter(map(place.__getitem__, words), np.int64, len(words))] for words in split]
+    place, found = Places(), []
+    for t in texts:
+        words = t.lower().encode("utf-8").split()
+        found.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+    slots = features(list(place))
+    return [slots.take(index, axis=0) for index in found]
 
 
 class Network:
@@ -87,55 +109,70 @@ class Network:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.rows, self.used = {}, np.zeros((1024, TAPS * FILTERS), np.float32), 0
+        self.known, self.rows, self.again = Places(), np.zeros((1024, TAPS * FILTERS), np.float32), np.zeros(1024, bool)
+
+    def forget_rare(self) -> None:
+        """Only words that came again since the last time stay, unless they are too many."""
+        stay = np.flatnonzero(self.again[: len(self.known)])
+        if len(stay) > CACHE_WORDS // 2:
+            return self.forget()
+        words = list(self.known)
+        self.known = Places((words[at], place) for place, at in enumerate(stay.tolist()))
+        self.rows[: len(stay)] = self.rows[stay]
+        self.again[:] = False
+
+    def summed(self, tapped: np.ndarray):
+        """Of every width with a position, its filters' columns and their sums over the taps, a row per filter."""
+        lines, at = np.ascontiguousarray(tapped.T), 0
+        for k, width in enumerate(WIDTHS):
+            n = len(tapped) - width + 1
+            if n > 0:
+                total = lines[at: at + FILTERS, :n]
+                for j in range(1, width):
+                    total = total + lines[at + j * FILTERS: at + (j + 1) * FILTERS, j: n + j]
+                yield slice(k * FILTERS, (k + 1) * FILTERS), total
+            at += width * FILTERS
 
     def pooled(self, tapped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximum over positions of every rectified filter, and its position, from the words' tap rows."""
         best = np.zeros(len(WIDTHS) * FILTERS, np.float32)
         place = np.full(len(best), -1)
-        at = 0
-        for k, width in enumerate(WIDTHS):
-            n, own = len(tapped) - width + 1, slice(k * FILTERS, (k + 1) * FILTERS)
-            if n > 0:
-                total = tapped[:n, at: at + FILTERS].copy()
-                for j in range(1, width):
-                    total += tapped[j: n + j, at + j * FILTERS: at + (j + 1) * FILTERS]
-                top = total.argmax(axis=0)
-                value = total[top, np.arange(FILTERS)] + self.bias[own]
-                best[own] = np.maximum(value, 0)
-                place[own] = np.where(value > 0, top, -1)
-            at += width * FILTERS
+        for own, total in self.summed(tapped):
+            top = total.argmax(axis=1)
+            value = total[np.arange(FILTERS), top] + self.bias[own]
+            best[own] = np.maximum(value, 0)
+            place[own] = np.where(value > 0, top, -1)
         return best, place
 
     def peaks(self, tapped: np.ndarray) -> np.ndarray:
         """The values of ``pooled``, without the positions."""
-        best, at = np.zeros(len(WIDTHS) * FILTERS, np.float32), 0
-        for k, width in enumerate(WIDTHS):
-            n = len(tapped) - width + 1
-            if n > 0:
-                total = tapped[:n, at: at + FILTERS]
-                for j in range(1, width):
-                    total = total + tapped[j: n + j, at + j * FILTERS: at + (j + 1) * FILTERS]
-                best[k * FILTERS: (k + 1) * FILTERS] = total.max(axis=0)
-            else:
-                best[k * FILTERS: (k + 1) * FILTERS] = -np.inf
-            at += width * FILTERS
+        best = np.full(len(WIDTHS) * FILTERS, -np.inf, np.float32)
+        for own, total in self.summed(tapped):
+            best[own] = total.max(axis=1)
         return np.maximum(best + self.bias, 0)
 
     def word_rows(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self.known)
-        if self.used + len(new) > CACHE_WORDS:
-            self.forget()
-            new = set(words)
-        if new:
-            new = list(new)
-            while self.used + len(new) > len(self.rows):
+        if len(self.known) + len(words) > CACHE_WORDS:
+            self.forget_rare()
+        used = len(self.known)
+        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        old = index < used
+        self.again[index[old]] = True
+        if len(self.known) > used:
+            later = np.flatnonzero(~old)
+            new = later[np.unique(index[later], return_index=True)[1]]
+            while len(self.known) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            slots = np.array([features(w) for w in new])
-            self.rows[self.used: self.used + len(new)] = self.embedding[slots].sum(axis=1) @ self.taps
-            self.known.update(zip(new, range(self.used, self.used + len(new))))
-            self.used += len(new)
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                self.again = np.concatenate([self.again, np.zeros_like(self.again)])
+            self.rows[used: len(self.known)] = self.embedded(features([words[at] for at in new.tolist()])) @ self.taps
+        return index
+
+    def embedded(self, slots: np.ndarray) -> np.ndarray:
+        """The embeddings of words, sums over their slots."""
+        total = self.embedding.take(slots[:, 0], axis=0)
+        for column in range(1, slots.shape[1]):
+            total += self.embedding.take(slots[:, column], axis=0)
+        return total
 
     def logit(self, text: str | None) -> float:
         words = (text or "").lower().encode("utf-8").split()
@@ -143,7 +180,7 @@ class Network:
         for at in range(0, len(words), PIECE):
             piece = words[at: at + PIECE + max(WIDTHS) - 1]
             index = self.word_rows(piece)
-            best = np.maximum(best, self.peaks(self.rows[index]))
+            best = np.maximum(best, self.peaks(self.rows.take(index, axis=0)))
         return float(best @ self.out + self.out_bias)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -183,7 +220,7 @@ class Network:
             for d in order[first: first + group]:
                 words = documents[d]
                 if len(words):
-                    embedded = self.embedding[words].sum(axis=1)
+                    embedded = self.embedded(words)
                     best, place = self.pooled(embedded @ self.taps)
                 else:
                     best, place = np.zeros(len(self.out), np.float32), np.full(len(self.out), -1)

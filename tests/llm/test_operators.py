@@ -4,9 +4,11 @@ import math
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
@@ -171,6 +173,21 @@ def test_language_of_held_out_rows(spark):
     assert {r.lang_pred for r in langid.identify(odd, None).collect()} == {"und"}
 
 
+def test_grams_of_windows_do_not_depend_on_their_neighbours(monkeypatch):
+    """Finding grams in strips of windows marks what one window at a time marks, and nothing in the filling."""
+    texts = ["the quick brown fox " * 90, "Überaus schöne Wörter " * 70, "x", "中文" * 500, "a\x00b\x00" * 200, *("word%d " % i * 130 for i in range(40))]
+    rows = np.concatenate([langid.windows(t) for t in texts])
+    kernel = langid.Kernel(rows[::7])
+    flags, sizes = kernel.presence(rows)
+    for row, mine, size in zip(rows, flags, sizes):
+        grams = {tuple(row[i: i + n]) for n in range(1, langid.GRAMS + 1) for i in range(len(row) - n + 1) if row[i + n - 1]}
+        alone, _ = kernel.presence(row[None, :])
+        assert (alone[0] == mine).all() and size == mine.sum() <= len(grams)
+    monkeypatch.setattr(langid, "STRIP", 1)
+    assert (kernel.presence(rows)[0] == flags).all()
+    assert kernel.presence(rows[:0])[0].shape == (0, kernel.width)
+
+
 def test_toxicity_cuts_follow_the_predicted_language(spark):
     """Every language with enough labels has its own cut; others, and texts without letters, that of all."""
     spoken = {"aa": "alpha anna lama kassa", "oo": "koro moto sodo loto", "ee": "mele sede tete kele"}
@@ -216,6 +233,42 @@ def test_toxicity_learns_words_and_their_beginnings():
     assert network.score(long + " vequ5") > network.score(long)
 
 
+def test_toxicity_features_are_those_of_each_word_alone():
+    words = "a ''! !! it's naïve, ÉCOLE 中文字典的詞 x\x1cy \u3000 \xa0, \x00 <|end|> l' 𝒳𝒴𝒵𝒳𝒴𝒵 ab\u0301cdefg toxic toxin".encode().split()
+
+    def plainly(word):
+        plain = word.strip(toxicity.EDGES)
+        letters = plain.decode()
+        parts = [b"w" + plain, *(f"{n}{letters[:n]}".encode() for n in toxicity.PREFIXES)]
+        return [xxhash.xxh3_64_intdigest(p) % toxicity.SLOTS for p in parts]
+
+    assert toxicity.features(words).tolist() == [plainly(w) for w in words]
+    assert [toxicity.features([w]).tolist() for w in words] == [[plainly(w)] for w in words]
+    assert toxicity.features([]).shape == (0, 1 + len(toxicity.PREFIXES))
+    texts = [b" ".join(words).decode(), "", "toxic it's toxic"]
+    assert [x.tolist() for x in toxicity.slots_of(texts)] == [[plainly(w) for w in t.lower().encode().split()] for t in texts]
+
+
+def test_toxicity_remembers_words_that_come_again(monkeypatch):
+    """Rare words do not push common ones out of memory, and no score depends on what is remembered."""
+    common = [f"common{i}" for i in range(50)]
+    texts = [" ".join([*common, *(f"rare{n}x{i}" for i in range(50))]) for n in range(40)]
+    whole = toxicity.Network()
+    expected = [whole.logit(t) for t in texts]
+    looked, features = Counter(), toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda words: looked.update(words) or features(words))
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 400)
+    network = toxicity.Network()
+    assert np.allclose([network.logit(t) for t in texts], expected, rtol=0, atol=1e-5)
+    assert all(looked[w.encode()] == 1 for w in common) and len(network.known) <= 400
+    # more words that come again than fit, a text longer than the memory and an empty one
+    many = [" ".join(f"m{(n * 150 + i) % 900}" for i in range(300)) for n in range(12)]
+    for t in [*many, " ".join(common * 20), "", *texts]:
+        assert abs(network.logit(t) - toxicity.Network().logit(t)) < 1e-5
+    network.forget()
+    assert abs(network.logit(texts[0]) - expected[0]) < 1e-5
+
+
 def test_a_head_without_end_tag_ends_where_the_body_begins():
     for start in ("<body>", "", "<BODY class='x'>", "<link href='y'><body>"):
         page = f"<html><head><title>T</title><meta charset='utf-8'>\n{start}<p>One.<div>Two <svg><text>no</text></svg></div><p>Three."
